@@ -26,7 +26,7 @@ RESULT_COLUMNS = ("response", "generation_time", "tokens_generated", "tokens_per
 ALL_METRICS = ("response_length", "generation_time", "coherence_score")
 
 
-def generate(
+def _generate(
     messages: Column,
     factory: GeneratorFactory,
     defaults: Mapping | None = None,
@@ -64,12 +64,17 @@ def batch_generate(
 ) -> DataFrame:
     """``df`` with the generation result columns.
 
-    ``partitions`` spreads the conversations evenly over that many tasks first, whatever the layout
-    of the input.
+    Generation costs far more than moving the prompts, so the conversations are first spread evenly
+    over ``partitions`` tasks (the session's number of shuffle partitions by default), whatever the
+    layout of the input. The exchange also keeps the expression that builds the prompts out of the
+    Python step.
     """
-    if partitions:
-        df = df.repartition(partitions)
-    result = df.withColumn("_result", generate(F.col(messages), factory, defaults, **overrides))
+    if not partitions:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.repartition(partitions)
+    result = spread.withColumn(
+        "_result", _generate(F.col(messages), factory, defaults, **overrides)
+    )
     return result.select(*df.columns, "_result.*").withColumn(
         "tokens_per_second", tokens_per_second(F.col("tokens_generated"), F.col("generation_time"))
     )

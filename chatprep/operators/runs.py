@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,22 +71,18 @@ def elapsed_minutes(log: DataFrame, run: Sequence[str], ts: str = "ts") -> DataF
 
 def flatten_hparams(params: Column) -> Column:
     """``map<string, string>`` of a JSON object: scalars as they read, all else as JSON text."""
-    entries = F.from_json(params, T.MapType(T.StringType(), T.VariantType()))
+    entries = F.from_json(params, T.MapType(T.StringType(), T.StringType()))
+    return F.transform_values(entries, lambda _key, value: F.coalesce(value, F.lit("None")))
 
-    def text(_key: Column, value: Column) -> Column:
-        kind = F.schema_of_variant(value)
-        return F.when(kind == "VOID", "None").otherwise(F.try_variant_get(value, "$", "string"))
 
-    return F.transform_values(entries, text)
+def _merge_two(earlier: Column, later: Column) -> Column:
+    kept = F.map_filter(earlier, lambda key, _value: ~F.map_contains_key(later, key))
+    return F.map_concat(kept, later)
 
 
 def merge_maps(*maps: Column) -> Column:
     """One map; where keys repeat, the later map wins."""
-    merged = maps[0]
-    for later in maps[1:]:
-        kept = F.map_filter(merged, lambda k, _v, m=later: ~F.map_contains_key(m, k))
-        merged = F.map_concat(kept, later)
-    return merged
+    return reduce(_merge_two, maps)
 
 
 def training_plan(

@@ -143,7 +143,7 @@ def conversation_prompt_turns(spark, sf_dir):
 _ECHOED = f"""echoed AS (SELECT *, length(response) / 1000::DOUBLE AS generation_time,
     len({sql.words("response")})::INTEGER AS tokens_generated FROM responses)"""
 _SPEED = (
-    "round(CASE WHEN generation_time > 0 THEN tokens_generated / generation_time ELSE 0 END, 6) "
+    "CASE WHEN generation_time > 0 THEN tokens_generated / generation_time ELSE 0 END "
     "AS tokens_per_second"
 )
 
@@ -156,16 +156,16 @@ SELECT doc_id, response, generation_time, tokens_generated, {_SPEED} FROM echoed
 )
 def batch_generate(spark, sf_dir):
     results = ev.batch_generate(inputs.chat(spark, sf_dir), echo_factory())
-    return results.drop("messages").withColumn("tokens_per_second", _round("tokens_per_second"))
+    return results.drop("messages")
 
 
 @query(
     "tokens_per_second",
     f"""WITH {sql.TIMINGS}
-SELECT conv_id, turn, round(tokens_per_second, 6) AS tokens_per_second FROM timings""",
+SELECT conv_id, turn, tokens_per_second FROM timings""",
 )
 def tokens_per_second(spark, sf_dir):
-    return inputs.timings(spark, sf_dir).select("conv_id", "turn", _round("tokens_per_second"))
+    return inputs.timings(spark, sf_dir).select("conv_id", "turn", "tokens_per_second")
 
 
 @query(
@@ -216,9 +216,7 @@ def evaluate_on_dataset(spark, sf_dir):
     details, _ = ev.evaluate_on_dataset(
         inputs.chat(spark, sf_dir), "doc_id", echo_factory(), scratch_path(spark, "details")
     )
-    return details.drop("prompt_messages").withColumn(
-        "tokens_per_second", _round("tokens_per_second")
-    )
+    return details.drop("prompt_messages")
 
 
 @query(
@@ -226,19 +224,13 @@ def evaluate_on_dataset(spark, sf_dir):
     f"""WITH {_WITH_IDS}, responses AS (SELECT conversation_id,
   {sql.ECHO.format(prompt="prompt")} AS response FROM prompts), {_ECHOED}
 SELECT conversation_id, response AS generated_response, generation_time, tokens_generated, {_SPEED},
-  length(response)::INTEGER AS response_length, round({sql.coherence("response")}, 6)
+  length(response)::INTEGER AS response_length, {sql.coherence("response")}
     AS coherence_score FROM echoed""",
 )
 def evaluate_conversations(spark, sf_dir):
-    results = ev.evaluate_conversations(
+    return ev.evaluate_conversations(
         inputs.chat_with_metadata(spark, sf_dir), "doc_id", echo_factory(), metadata="metadata"
     )
-    return results.withColumns(
-        {
-            "tokens_per_second": _round("tokens_per_second"),
-            "coherence_score": _round("coherence_score"),
-        }
-    )
 
 
 @query(
@@ -258,10 +250,10 @@ def response_length(spark, sf_dir):
 
 @query(
     "coherence_score",
-    f"SELECT doc_id, round({sql.coherence('text')}, 6) AS coherence_score FROM documents",
+    f"SELECT doc_id, {sql.coherence('text')} AS coherence_score FROM documents",
 )
 def coherence_score(spark, sf_dir):
-    score = F.round(sc.coherence_score(F.col("text")), 6)
+    score = sc.coherence_score(F.col("text"))
     return inputs.table(spark, sf_dir, "documents").select(
         "doc_id", score.alias("coherence_score")
     )

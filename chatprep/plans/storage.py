@@ -78,7 +78,7 @@ def read_json_columns(spark, sf_dir):
     path = scratch_path(spark, "columns") + ".json"
     _write_json_arrays(spark, sf_dir, path, as_columns=True)
     schema = "doc_id array<bigint>, lang array<string>, text array<string>"
-    return files.read_json(spark, path, schema)
+    return files.read_json(spark, f"{path}/*", schema)
 
 
 @query("json_to_jsonl", _DOCS)

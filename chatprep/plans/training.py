@@ -124,14 +124,13 @@ def merge_run_config(spark, sf_dir):
 
 @query(
     "elapsed_minutes",
-    f"""WITH {sql.RUN_LOG} SELECT run, step, round(date_diff('microsecond',
-  min(ts) OVER (PARTITION BY run), ts) / 60000000::DOUBLE, 6) AS training_time_minutes
+    f"""WITH {sql.RUN_LOG} SELECT run, step, date_diff('microsecond',
+  min(ts) OVER (PARTITION BY run), ts) / 60000000::DOUBLE AS training_time_minutes
 FROM run_log""",
 )
 def elapsed_minutes(spark, sf_dir):
     log = rn.elapsed_minutes(inputs.run_log(spark, sf_dir), ["run"])
-    minutes = F.round("training_time_minutes", 6).alias("training_time_minutes")
-    return log.select("run", "step", minutes)
+    return log.select("run", "step", "training_time_minutes")
 
 
 def _early_stop_sql(patience: int, threshold: float) -> str:
