@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chatprep.functions.binding import let
 from chatprep.functions.text import WHITESPACE, contains_any, strip, word_count, words
 
 SENTENCE_WORD = r"(?U)[^.\s\x1c-\x1f]+"
@@ -55,11 +56,14 @@ def coherence_score(text: Column) -> Column:
     """Mean of sentence-length, repetition and punctuation scores, in [0, 1]."""
     dots = F.length(text) - F.length(F.replace(text, F.lit("."), F.lit("")))
     per_sentence = F.regexp_count(text, F.lit(SENTENCE_WORD)) / (dots + 1)
-    length_score = F.when(per_sentence.between(5, 25), 1.0).otherwise(0.7)
-    lowered = words(F.lower(text))
-    # The blank case is cut off below, but may be evaluated: never divide by zero.
-    ratio = F.size(F.array_distinct(lowered)) / F.greatest(F.size(lowered), F.lit(1))
-    repetition_score = F.least(ratio * 2, F.lit(1.0))
+    length_score = let(per_sentence, lambda n: F.when(n.between(5, 25), 1.0).otherwise(0.7))
+
+    def repetition(tokens: Column) -> Column:
+        # The blank case is cut off below, but may be evaluated: never divide by zero.
+        ratio = F.size(F.array_distinct(tokens)) / F.greatest(F.size(tokens), F.lit(1))
+        return F.least(ratio * 2, F.lit(1.0))
+
+    repetition_score = let(words(F.lower(text)), repetition)
     last = F.substring(F.rtrim(text, F.lit(WHITESPACE)), -1, 1)
     well_formed = text.rlike(r"^\p{IsUppercase}") & last.isin(".", "!", "?")
     grammar_score = F.when(well_formed, 1.0).otherwise(0.8)

@@ -18,6 +18,8 @@ WHITESPACE = (
 )
 SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 WORD = r"(?U)[^\s\x1c-\x1f]+"
+# Up to N words from the start of a text; possessive, so that a text is read once and only so far.
+LEADING_WORDS = r"(?U)^[\s\x1c-\x1f]*+(?:[^\s\x1c-\x1f]++[\s\x1c-\x1f]*+){%d}"
 
 # What cleaning keeps, besides letters, numbers and the underscore.
 KEPT_PUNCTUATION = "-.,!?:;()"
@@ -61,10 +63,18 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD))
 
 
+def has_more_words(text: Column, n: int) -> Column:
+    """``word_count(text) > n``, reading no further than needed."""
+    return text.rlike(LEADING_WORDS % (n + 1))
+
+
 def contains_any(text: Column, phrases: Iterable[str]) -> Column:
     """True where the lower-cased text holds at least one phrase."""
-    lowered = F.lower(text)
-    return reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(p)) for p in phrases], F.lit(False))
+    def any_of(lowered: Column) -> Column:
+        found = [F.contains(lowered, F.lit(p)) for p in phrases]
+        return reduce(lambda a, b: a | b, found, F.lit(False))
+
+    return let(F.lower(text), any_of)
 
 
 def clean_text(text: Column) -> Column:
@@ -94,11 +104,12 @@ def useful_chunks(
 
 def limit_chunks(chunks: Column, per_document: int = 20, min_words: int = 10) -> Column:
     """The first ``per_document`` chunks, then those of them with more than ``min_words`` words."""
-    return F.filter(F.slice(chunks, 1, per_document), lambda c: word_count(c) > min_words)
+    return F.filter(F.slice(chunks, 1, per_document), lambda c: has_more_words(c, min_words))
 
 
 def chunk_topic(chunk: Column, n_words: int = 10) -> Column:
-    return F.array_join(F.slice(words(chunk), 1, n_words), " ")
+    start = F.regexp_extract(chunk, LEADING_WORDS.replace("%d", f"0,{n_words}"), 0)
+    return F.array_join(words(start), " ")
 
 
 def section_of(line: Column, patterns: Mapping[str, str]) -> Column:

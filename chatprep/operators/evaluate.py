@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chatprep.functions.chat import conversation_id, conversation_prompt, eval_pair
 from chatprep.functions.scores import coherence_score, response_length, tokens_per_second
-from chatprep.operators.ranks import exact_medians
+from chatprep.operators.ranks import summarize
 from chatprep.operators.sample import head_limit
 from chatprep.operators.validate import filter_has_expected
 from chatprep.schema import GENERATION
@@ -170,20 +170,7 @@ METRIC_COLUMNS = ("generation_time", "tokens_per_second", "tokens_generated")
 
 def eval_metrics(details: DataFrame) -> DataFrame:
     """One row: count, sums, means and exact medians. Reads ``details`` several times; store it."""
-    measures = [
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-        for c in METRIC_COLUMNS
-    ]
-    by_metric = (
-        details.select(F.explode(F.array(*measures)).alias("p"))
-        .groupBy("p.metric")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("p.value").alias("total"),
-            F.avg("p.value").alias("mean"),
-        )
-    )
-    long = by_metric.join(exact_medians(details, METRIC_COLUMNS), "metric", "left")
+    long = summarize(details, METRIC_COLUMNS)
 
     def of(metric: str, column: str) -> Column:
         return F.max(F.when(F.col("metric") == metric, F.col(column)))

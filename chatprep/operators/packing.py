@@ -11,9 +11,9 @@ def running_total(df: DataFrame, row_id: str, value: str, width: int = 1 << 16)
 
     Ids are unique integers. Ranges of ``width`` ids are summed first; a window over that short
     table gives each range its offset, and a window inside the range, of at most ``width`` rows,
-    does the rest.
+    does the rest. All steps share one exchange by range, and ``df`` is computed once.
     """
-    ranged = df.withColumn("_range", F.floor(F.col(row_id) / width))
+    ranged = df.withColumn("_range", F.floor(F.col(row_id) / width)).repartition("_range")
     sums = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"))
     offsets = sums.withColumn(
         "_offset", F.sum("_sum").over(Window.orderBy("_range")) - F.col("_sum")
@@ -35,8 +35,8 @@ def pack_sequences(
     One row per piece: ``(row_id, block, block_offset, token_from, n)`` says that ``n`` tokens of
     the example, from ``token_from`` on, stand at ``block_offset`` of the block.
     """
-    sized = df.select(row_id, F.col(n_tokens).cast("bigint").alias("_n")).where("_n > 0")
-    placed = running_total(sized, row_id, "_n", width)
+    sized = df.select(row_id, F.col(n_tokens).cast("bigint").alias("_n"))
+    placed = running_total(sized, row_id, "_n", width).where("_n > 0")
     end = F.col("before") + F.col("_n")
     first = F.floor(F.col("before") / block_size)
     last = F.floor((end - 1) / block_size)

@@ -1,6 +1,6 @@
 """Exact order statistics without sorting a whole table in one task.
 
-Both functions here narrow down: count rows per bucket (a partial aggregate with at most 4,096
+Both functions here narrow down: count rows per bucket (a partial aggregate with a fixed number of
 buckets), find the one bucket that holds the wanted rank, look only inside it, repeat. What is
 finally ranked is the content of one bucket of the last level. The tables handed back to the rows
 hold one row per group and level, and are broadcast only where the number of groups is fixed by the
@@ -14,8 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 4096
-LEVELS = 3
+VALUE_BINS = 65536
+VALUE_LEVELS = 2
 
 
 def order_hash(key: Sequence[str], seed: int) -> Column:
@@ -24,17 +24,19 @@ def order_hash(key: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws(":", *parts, F.lit(str(seed))))
 
 
-def _holding_rank(counts: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _holding_rank(
+    counts: DataFrame, group: Sequence[str], order: Sequence[str], keep_size: bool = False
+) -> DataFrame:
     """The bucket that holds rank ``k`` of its group; ``k`` becomes the rank inside the bucket."""
     running = Window.partitionBy(*group).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return (
+    found = (
         counts.withColumn("upto", F.sum("n").over(running))
         .where((F.col("k") > F.col("upto") - F.col("n")) & (F.col("k") <= F.col("upto")))
         .withColumn("k", F.col("k") - (F.col("upto") - F.col("n")))
-        .drop("upto", "n")
     )
+    return found.drop("upto") if keep_size else found.drop("upto", "n")
 
 
 def hash_cut(
@@ -70,15 +72,16 @@ def hash_cut(
     second = counted(inside.drop("bucket"), 6, ["k"])
     goal = _holding_rank(second, group, ["bucket"])
 
+    # Copies of a key, which there should be none of, are counted and not ranked one by one.
     inside = rows.withColumn("bucket", F.substring("h", 1, 6)).join(
         F.broadcast(goal), [*group, "bucket"]
     )
-    rank = F.row_number().over(Window.partitionBy(*group, "bucket").orderBy("h", *key))
-    return (
-        inside.withColumn("rank", rank)
-        .where(F.col("rank") == F.col("k"))
-        .select(*group, F.struct("h", *key).alias("cut"))
-    )
+    third = inside.groupBy(*group, "bucket", "h", *key, "k").agg(F.count(F.lit(1)).alias("n"))
+    last = _holding_rank(third, [*group, "bucket"], ["h", *key], keep_size=True)
+    unique = F.when(
+        F.col("k") < F.col("n"), F.raise_error(F.lit("the key does not identify a row"))
+    ).otherwise(F.struct("h", *key))
+    return last.select(*group, unique.alias("cut"))
 
 
 def before_cut(
@@ -92,24 +95,30 @@ def before_cut(
     return joined, F.coalesce(place <= F.col("cut"), F.lit(False))
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(metric, median)``, one row per column; the mean of the two middle values if ``n`` is even.
+def summarize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(metric, n, total, mean, lo, hi, median)``, one row per column.
 
-    The built-in ``median`` keeps every distinct value of a group in one task. Here each level
-    splits the value range that is left into 4,096 bins, so three levels narrow it by a factor of
-    about 7e10. ``df`` is read once per level: hand in a stored table, not a costly computation.
+    The median is exact, the mean of the two middle values if ``n`` is even. The built-in one keeps
+    every distinct value in one task; here each level splits the value range that is left into
+    65,536 bins, so two levels narrow it by a factor of about 4e9. ``df`` is read once per level:
+    hand in a stored table, not a costly computation.
     """
-    pairs = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-             for c in columns]
+    pairs = [
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns
+    ]
     values = (
         df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("value IS NOT NULL")
     )
+    summary = values.groupBy("metric").agg(
+        F.count("value").alias("n"),
+        F.sum("value").alias("total"),
+        F.avg("value").alias("mean"),
+        F.min("value").alias("lo"),
+        F.max("value").alias("hi"),
+    )
     middle = F.array_distinct(F.array(F.expr("(n + 1) div 2"), F.expr("(n + 2) div 2")))
-    goals = (
-        values.groupBy("metric")
-        .agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .select("metric", F.explode(middle).alias("goal"), "lo", "hi")
-        .withColumn("k", F.col("goal"))
+    goals = summary.select("metric", F.explode(middle).alias("goal"), "lo", "hi").withColumn(
+        "k", F.col("goal")
     )
 
     def in_range(goals: DataFrame) -> DataFrame:
@@ -119,17 +128,19 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         )
 
     share = (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-    bin_of = F.when(F.col("hi") > F.col("lo"), F.floor(share * BINS)).otherwise(0)
-    for _ in range(LEVELS):
+    bin_of = F.when(F.col("hi") > F.col("lo"), F.floor(share * VALUE_BINS)).otherwise(0)
+    for _ in range(VALUE_LEVELS):
         counts = (
             in_range(goals)
             .groupBy("metric", "goal", "k", bin_of.alias("bin"))
-            .agg(F.count("value").alias("n"), F.min("value").alias("lo"),
-                 F.max("value").alias("hi"))
+            .agg(
+                F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+            )
         )
         goals = _holding_rank(counts, ["metric", "goal"], ["bin"]).drop("bin")
-    counts = in_range(goals).groupBy("metric", "goal", "k", "value").agg(
-        F.count("value").alias("n")
+    counts = (
+        in_range(goals).groupBy("metric", "goal", "k", "value").agg(F.count("value").alias("n"))
     )
     found = _holding_rank(counts, ["metric", "goal"], ["value"])
-    return found.groupBy("metric").agg(F.avg("value").alias("median"))
+    medians = found.groupBy("metric").agg(F.avg("value").alias("median"))
+    return summary.join(F.broadcast(medians), "metric", "left")

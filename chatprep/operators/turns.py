@@ -2,10 +2,10 @@
 
 A stored chat record is one array and fits a row. A table of single turns has no such bound: one
 conversation may hold a large part of it. Here turns stay rows. Per conversation only small
-aggregates are computed, with partial aggregation before the shuffle, and joined back by equality,
-where adaptive execution can split a hot key. No turns are collected into arrays.
+aggregates are computed, with partial aggregation before the shuffle, and joined back per range of
+turns, so that a long conversation is spread over many tasks. No turns are collected into arrays.
 
-Columns: ``conv_id, turn, role, content``; ``(conv_id, turn)`` is unique.
+Columns: ``conv_id, turn, role, content``; ``(conv_id, turn)`` is unique, turns count up.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from chatprep.functions.chat import CHATML, DEFAULT_SYSTEM_PROMPT, Template
 
 COLUMNS = ("conv_id", "turn", "role", "content")
+TURNS_PER_RANGE = 1 << 16
 
 
 def _assistant() -> Column:
@@ -65,19 +66,35 @@ def render_turns(turns: DataFrame, template: Template = CHATML) -> DataFrame:
     return turns.select("conv_id", "turn", text.alias("text"))
 
 
+def _with_bounds(turns: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Turns joined with their conversation's row of ``bounds(conv_id, first, last, ...)``, for the
+    turns from ``first`` to ``last``.
+
+    Both sides are keyed by conversation and range of turns; nearly all conversations lie in one.
+    """
+
+    def range_of(turn: str) -> Column:
+        return F.floor(F.col(turn) / TURNS_PER_RANGE)
+
+    spread = bounds.withColumn("_range", F.explode(F.sequence(range_of("first"), range_of("last"))))
+    return (
+        turns.withColumn("_range", range_of("turn"))
+        .join(spread, ["conv_id", "_range"])
+        .where((F.col("turn") >= F.col("first")) & (F.col("turn") <= F.col("last")))
+        .drop("_range")
+    )
+
+
 def eval_pairs(turns: DataFrame) -> DataFrame:
     """``(conv_id, first_turn, answer_turn, expected_response)`` of conversations that have one.
 
     The prompt is the turns from ``first_turn`` up to, but without, ``answer_turn``.
     """
-    opening = (
-        turns.where(~_assistant()).groupBy("conv_id").agg(F.min("turn").alias("first_turn"))
-    )
+    asked = F.when(~_assistant(), F.col("turn"))
+    bounds = turns.groupBy("conv_id").agg(F.min(asked).alias("first"), F.max("turn").alias("last"))
     answers = (
-        turns.where(_assistant())
-        .join(opening, "conv_id")
-        .where(F.col("turn") > F.col("first_turn"))
-        .groupBy("conv_id", "first_turn")
+        _with_bounds(turns.where(_assistant()), bounds.where("first IS NOT NULL"))
+        .groupBy("conv_id", F.col("first").alias("first_turn"))
         .agg(
             F.min("turn").alias("answer_turn"),
             F.min_by("content", "turn").alias("expected_response"),
@@ -88,19 +105,21 @@ def eval_pairs(turns: DataFrame) -> DataFrame:
 
 def prompt_turns(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     """The turns of each evaluation prompt."""
-    bounds = pairs.select("conv_id", "first_turn", "answer_turn")
-    return (
-        turns.join(bounds, "conv_id")
-        .where((F.col("turn") >= F.col("first_turn")) & (F.col("turn") < F.col("answer_turn")))
-        .select(*COLUMNS)
+    bounds = pairs.select(
+        "conv_id", F.col("first_turn").alias("first"), (F.col("answer_turn") - 1).alias("last")
     )
+    return _with_bounds(turns, bounds).select(*COLUMNS)
 
 
 def conversation_prompt(turns: DataFrame) -> DataFrame:
     """Turns that are not the assistant's, or that say the same as the conversation's first."""
-    first = turns.groupBy("conv_id").agg(
-        F.min_by(F.struct("role", "content"), "turn").alias("first")
+    opening = turns.groupBy("conv_id").agg(
+        F.min("turn").alias("first"),
+        F.max("turn").alias("last"),
+        F.min_by("role", "turn").alias("first_role"),
+        F.min_by("content", "turn").alias("first_content"),
     )
-    repeated = first.where("first.role = 'assistant'").select("conv_id", "first.content")
-    kept = turns.where(_assistant()).join(repeated, ["conv_id", "content"], "left_semi")
-    return turns.where(~_assistant()).select(*COLUMNS).unionByName(kept.select(*COLUMNS))
+    repeated = _with_bounds(
+        turns.where(_assistant()), opening.where("first_role = 'assistant'").drop("first_role")
+    ).where(F.col("content").eqNullSafe(F.col("first_content")))
+    return turns.where(~_assistant()).select(*COLUMNS).unionByName(repeated.select(*COLUMNS))

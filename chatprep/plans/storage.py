@@ -70,7 +70,8 @@ _DOCS = "SELECT doc_id, lang, text FROM documents"
 def read_json(spark, sf_dir):
     path = scratch_path(spark, "arrays") + ".json"
     _write_json_arrays(spark, sf_dir, path, as_columns=False)
-    return files.read_json(spark, path).select("doc_id", "lang", "text")
+    rows = files.read_json(spark, path, "doc_id bigint, lang string, text string")
+    return rows.select("doc_id", "lang", "text")
 
 
 @query("read_json_columns", _DOCS)
@@ -127,7 +128,9 @@ SELECT 'run-1' AS run_id, 'echo' AS model_path, 'conversations' AS evaluation_da
 )
 def write_eval_report(spark, sf_dir):
     path = scratch_path(spark, "report")
-    details = inputs.timings(spark, sf_dir)
+    stored_at = scratch_path(spark, "timings")
+    inputs.timings(spark, sf_dir).write.parquet(stored_at)
+    details = spark.read.parquet(stored_at)
     metrics = evaluation.rounded(ev.eval_metrics(details))
     files.write_eval_report(details, metrics, path, "run-1", "echo", "conversations")
     stored, report = files.read_eval_report(spark, path)
