@@ -72,8 +72,8 @@ def read_csv(
 
 def _first_characters(spark: SparkSession, path: str) -> DataFrame:
     """The first non-blank character of each file."""
-    whole = spark.read.option("wholetext", True).text(path)
-    return whole.select(F.substring(F.ltrim("value", F.lit(WHITESPACE + "\ufeff")), 1, 1).alias("c"))
+    start = F.ltrim("value", F.lit(WHITESPACE + "\ufeff"))
+    return spark.read.text(path, wholetext=True).select(F.substring(start, 1, 1).alias("c"))
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
