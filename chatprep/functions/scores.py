@@ -8,9 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from chatprep.functions.binding import let
-from chatprep.functions.text import WHITESPACE, contains_any, strip, word_count, words
+from chatprep.functions.text import contains_any, has_more_words, word_count, words
 
 SENTENCE_WORD = r"(?U)[^.\s\x1c-\x1f]+"
+SENTENCE_END = r"(?U)[.!?][\s\x1c-\x1f]*+\z"
 
 # Phrases looked for in responses.
 FORCED_ENDINGS = ("ready for more", "any other questions", "hope this helps", "feel free to ask")
@@ -64,11 +65,10 @@ def coherence_score(text: Column) -> Column:
         return F.least(ratio * 2, F.lit(1.0))
 
     repetition_score = let(words(F.lower(text)), repetition)
-    last = F.substring(F.rtrim(text, F.lit(WHITESPACE)), -1, 1)
-    well_formed = text.rlike(r"^\p{IsUppercase}") & last.isin(".", "!", "?")
+    well_formed = text.rlike(r"^\p{IsUppercase}") & text.rlike(SENTENCE_END)
     grammar_score = F.when(well_formed, 1.0).otherwise(0.8)
     score = (length_score + repetition_score + grammar_score) / 3
-    return F.when(strip(text) == "", 0.0).otherwise(score)
+    return F.when(has_more_words(text, 0), score).when(text.isNotNull(), 0.0)
 
 
 def has_any(text: Column, phrases: Iterable[str]) -> Column:

@@ -13,15 +13,17 @@ def running_total(df: DataFrame, row_id: str, value: str, width: int = 1 << 16)
     table gives each range its offset, and a window inside the range, of at most ``width`` rows,
     does the rest. All steps share one exchange by range, and ``df`` is computed once.
     """
-    ranged = df.withColumn("_range", F.floor(F.col(row_id) / width)).repartition("_range")
-    sums = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"))
-    offsets = sums.withColumn(
-        "_offset", F.sum("_sum").over(Window.orderBy("_range")) - F.col("_sum")
-    ).drop("_sum")
+    ranged = df.withColumn("_range", F.expr(f"`{row_id}` div {width}")).repartition("_range")
+    # Ordered by first id, so that both uses of the exchange read the same columns.
+    sums = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"), F.min(row_id).alias("_first"))
+    offsets = sums.select(
+        "_range", (F.sum("_sum").over(Window.orderBy("_first")) - F.col("_sum")).alias("_offset")
+    )
     inside = Window.partitionBy("_range").orderBy(row_id).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    totals = ranged.join(offsets, "_range").withColumn(
+    # Every range has its offset; an inner join would only add a null check that spoils the reuse.
+    totals = ranged.join(offsets, "_range", "left").withColumn(
         "before", F.col("_offset") + F.sum(value).over(inside) - F.col(value)
     )
     return totals.drop("_range", "_offset")
@@ -38,8 +40,8 @@ def pack_sequences(
     sized = df.select(row_id, F.col(n_tokens).cast("bigint").alias("_n"))
     placed = running_total(sized, row_id, "_n", width).where("_n > 0")
     end = F.col("before") + F.col("_n")
-    first = F.floor(F.col("before") / block_size)
-    last = F.floor((end - 1) / block_size)
+    first = F.expr(f"before div {block_size}")
+    last = F.expr(f"(before + _n - 1) div {block_size}")
     pieces = placed.select("*", F.explode(F.sequence(first, last)).alias("block"))
     start_of = F.greatest(F.col("before"), F.col("block") * block_size)
     end_of = F.least(end, (F.col("block") + 1) * block_size)
@@ -54,7 +56,7 @@ def pack_sequences(
 
 def length_buckets(df: DataFrame, length: str, width: int) -> DataFrame:
     """How many examples fall into each range of ``width`` lengths."""
-    bucket = F.floor(F.col(length) / width).alias("bucket")
+    bucket = F.expr(f"`{length}` div {width}").alias("bucket")
     return df.groupBy(bucket).agg(
         F.count(F.lit(1)).alias("n"),
         F.min(length).alias("min_length"),

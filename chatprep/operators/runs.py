@@ -96,7 +96,7 @@ def training_plan(
     """Adds the step counts; ``epochs_completed`` is null where an epoch has no full batch."""
     batch = F.col(per_device) * F.col(accumulation)
     planned = df.withColumn("effective_batch_size", batch.cast("bigint")).withColumn(
-        "steps_per_epoch", F.floor(F.col(n) / F.col("effective_batch_size"))
+        "steps_per_epoch", F.expr(f"`{n}` div effective_batch_size")
     )
     by_epochs = F.floor(F.col("steps_per_epoch") * F.col(epochs))
     total = F.when(F.col(max_steps) > 0, F.col(max_steps).cast("bigint")).otherwise(by_epochs)
@@ -176,7 +176,7 @@ def early_stop(
     """
     evals = log.where(F.col(loss).isNotNull()).select(
         *run,
-        F.floor(F.col(step) / steps_per_chunk).alias("_chunk"),
+        F.expr(f"`{step}` div {steps_per_chunk}").alias("_chunk"),
         F.struct(
             F.col(step).cast("bigint").alias("step"), F.col(loss).cast("double").alias("loss")
         ).alias("_e"),

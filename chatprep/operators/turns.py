@@ -74,7 +74,7 @@ def _with_bounds(turns: DataFrame, bounds: DataFrame) -> DataFrame:
     """
 
     def range_of(turn: str) -> Column:
-        return F.floor(F.col(turn) / TURNS_PER_RANGE)
+        return F.expr(f"{turn} div {TURNS_PER_RANGE}")
 
     spread = bounds.withColumn("_range", F.explode(F.sequence(range_of("first"), range_of("last"))))
     return (

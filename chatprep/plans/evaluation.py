@@ -201,7 +201,9 @@ def rounded(df):
 
 @query("eval_metrics", f"WITH {sql.TIMINGS} {METRICS_SQL}")
 def eval_metrics(spark, sf_dir):
-    return rounded(ev.eval_metrics(inputs.timings(spark, sf_dir)))
+    stored = scratch_path(spark, "timings")
+    inputs.timings(spark, sf_dir).write.parquet(stored)
+    return rounded(ev.eval_metrics(spark.read.parquet(stored)))
 
 
 @query(
