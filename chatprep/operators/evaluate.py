@@ -13,7 +13,6 @@ from chatprep.functions.chat import conversation_id, conversation_prompt, eval_p
 from chatprep.functions.scores import coherence_score, response_length, tokens_per_second
 from chatprep.operators.ranks import summarize
 from chatprep.operators.sample import head_limit
-from chatprep.operators.validate import filter_has_expected
 from chatprep.schema import GENERATION
 
 Messages = list[dict[str, str]]
@@ -80,9 +79,16 @@ def batch_generate(
     )
 
 
-def eval_pairs(df: DataFrame, messages: str = "messages") -> DataFrame:
-    """Adds ``prompt_messages`` and ``expected_response``."""
-    return df.withColumn("_pair", eval_pair(F.col(messages))).select(*df.columns, "_pair.*")
+def eval_pairs(df: DataFrame, messages: str = "messages", keep_all: bool = False) -> DataFrame:
+    """Adds ``prompt_messages`` and ``expected_response``.
+
+    Conversations without an expected response are dropped unless ``keep_all``. They are dropped by
+    a generator, because a filter on a computed column is pushed below it and computes it twice.
+    """
+    pairs = F.array(eval_pair(F.col(messages)))
+    if not keep_all:
+        pairs = F.filter(pairs, lambda p: F.length(p["expected_response"]) > 0)
+    return df.select(*df.columns, F.inline(pairs))
 
 
 def evaluation_details(
@@ -99,7 +105,7 @@ def evaluation_details(
     skipped samples leave.
     """
     limited = head_limit(df.select(row_id, "messages"), max_samples, row_id)
-    pairs = filter_has_expected(eval_pairs(limited))
+    pairs = eval_pairs(limited)
     results = batch_generate(
         pairs.select(
             (F.col(row_id) + 1).alias("sample_id"), "prompt_messages", "expected_response"

@@ -109,7 +109,7 @@ SELECT (SELECT count(*) FROM documents) AS n_samples,
   (SELECT count(*) FROM documents) - n AS n_skipped FROM counted""",
 )
 def filter_has_expected(spark, sf_dir):
-    return va.skipped_samples(ev.eval_pairs(inputs.chat(spark, sf_dir)))
+    return va.skipped_samples(ev.eval_pairs(inputs.chat(spark, sf_dir), keep_all=True))
 
 
 @query(

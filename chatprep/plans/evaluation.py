@@ -10,7 +10,6 @@ from chatprep.functions import scores as sc
 from chatprep.functions.text import clean_text
 from chatprep.operators import evaluate as ev
 from chatprep.operators import turns as tn
-from chatprep.operators import validate as va
 from chatprep.plans import inputs, sql
 from chatprep.plans.registry import query
 from chatprep.sources.scratch import scratch_path
@@ -41,9 +40,8 @@ def _round(column: str, digits: int = 6):
   expected AS expected_response FROM pairs""",
 )
 def eval_pairs(spark, sf_dir):
-    pairs = va.filter_has_expected(ev.eval_pairs(inputs.chat(spark, sf_dir)))
-    return pairs.select("doc_id", F.to_json("prompt_messages").alias("prompt_messages"),
-                        "expected_response")
+    prompt = F.to_json("prompt_messages").alias("prompt_messages")
+    return ev.eval_pairs(inputs.chat(spark, sf_dir)).select("doc_id", prompt, "expected_response")
 
 
 _TURN_PAIRS = """opening AS (

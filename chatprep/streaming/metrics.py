@@ -35,15 +35,21 @@ def read_log_stream(
     )
 
 
-def stream_metrics(entries: DataFrame, output_path: str, checkpoint: str) -> StreamingQuery:
-    """Append the numeric entries to a Parquet table; each is written exactly once."""
+def stream_metrics(
+    entries: DataFrame, output_path: str, checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Append the numeric entries to a Parquet table; each is written exactly once.
+
+    Works off what is there and stops, unless another trigger is given, such as
+    ``processingTime="1 minute"``.
+    """
     return (
         log_metrics(entries)
         .writeStream.format("parquet")
         .option("path", output_path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -99,9 +105,10 @@ def write_to_all(batch: DataFrame, batch_id: int, sinks: Mapping[str, TableSink]
 
 
 def fanout_sink(
-    entries: DataFrame, sinks: Mapping[str, TableSink], checkpoint: str
+    entries: DataFrame, sinks: Mapping[str, TableSink], checkpoint: str, **trigger
 ) -> StreamingQuery | None:
-    """Send each metric entry to all sinks that can be opened; None if there is none."""
+    """Send each metric entry to all sinks that can be opened; None if there is none. Triggers as
+    for ``stream_metrics``."""
     opened = open_sinks(entries.sparkSession, sinks)
     if not opened:
         return None
@@ -109,7 +116,7 @@ def fanout_sink(
         log_metrics(entries)
         .writeStream.foreachBatch(lambda batch, batch_id: write_to_all(batch, batch_id, opened))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
