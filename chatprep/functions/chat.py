@@ -258,4 +258,4 @@ def preprocess(
             record["instruction"], record.get("input", F.lit("")), record["output"], prompt
         )
         return render_chat(chat, template)
-    raise ValueError(f"Unsupported data format: {data_format}")
+    raise ValueError(f"no rule for format '{data_format}'")

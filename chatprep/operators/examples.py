@@ -102,6 +102,18 @@ def examples_per_doc(
     return df.select(*keep, F.size(mined_chunks(F.col(text), rules)).alias("n_examples"))
 
 
+def examples_total(
+    df: DataFrame, rules: MiningRules = MiningRules(), text: str = "text"
+) -> DataFrame:
+    """``(n_documents, n_with_examples, n_examples)`` of a whole table."""
+    counted = examples_per_doc(df, rules, text, keep=())
+    return counted.agg(
+        F.count(F.lit(1)).alias("n_documents"),
+        F.count_if(F.col("n_examples") > 0).alias("n_with_examples"),
+        F.coalesce(F.sum("n_examples"), F.lit(0)).alias("n_examples"),
+    )
+
+
 SAMPLE_QUESTIONS = (
     ("How do I change the display language?", "Open the preferences, choose Language, then restart."),
     ("Where are the log files kept?", "Log files are kept in the folder named in the settings page."),

@@ -16,7 +16,7 @@ def check_required_fields(columns: Iterable[str], data_format: str) -> None:
     columns = set(columns)
     for field in required_fields(data_format):
         if field not in columns:
-            raise ValueError(f"Required field '{field}' not found in dataset")
+            raise ValueError(f"column '{field}' is required by format '{data_format}'")
 
 
 def required_field_report(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -55,7 +55,9 @@ def validate_nonempty_messages(
 def check_nonempty_messages(df: DataFrame, row_id: str, messages: str = "messages") -> None:
     found = validate_nonempty_messages(df, row_id, messages).first()
     if found.n_empty:
-        raise ValueError(f"Empty messages found at index {found.first_empty}")
+        raise ValueError(
+            f"{found.n_empty} records without messages, the first with id {found.first_empty}"
+        )
 
 
 def _variant(value: Column, path: str, kind: str = "variant") -> Column:

@@ -137,6 +137,15 @@ def examples_per_doc(spark, sf_dir):
     return ex.examples_per_doc(_docs(spark, sf_dir), inputs.LINE_RULES)
 
 
+@query(
+    "examples_total",
+    f"""WITH {_LIMITED} SELECT (SELECT count(*) FROM documents) AS n_documents,
+  count(DISTINCT doc_id) AS n_with_examples, count(*) AS n_examples FROM mined""",
+)
+def examples_total(spark, sf_dir):
+    return ex.examples_total(_docs(spark, sf_dir), inputs.LINE_RULES)
+
+
 _BLOCK = 256
 
 

@@ -81,7 +81,7 @@ def read_json(spark: SparkSession, path: str, schema: StructType | None = None)
     arrays, one per column. All files of a path have the form of its first one."""
     head = _first_characters(spark, path).first()
     if head is None or head.c not in ("[", "{"):
-        raise ValueError("JSON data must be a list or dictionary")
+        raise ValueError(f"neither an array of records nor an object of columns: {path}")
     reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     df = (reader.schema(schema) if schema else reader).json(path)
     return columns_to_rows(df) if head.c == "{" else df
@@ -100,7 +100,7 @@ def columns_to_rows(df: DataFrame) -> DataFrame:
 def read_json_array(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Files that hold an array of objects each; any other value is an error."""
     if _first_characters(spark, path).where("c <> '['").limit(1).count():
-        raise ValueError("JSON file must contain an array of objects")
+        raise ValueError(f"not an array of records: {path}")
     return read_json(spark, path, schema)
 
 
@@ -112,10 +112,10 @@ def load_data(spark: SparkSession, path: str, schema: StructType | None = None)
         spark.read.text(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"Data file not found: {path}") from error
+            raise FileNotFoundError(path) from error
         raise
     if suffix not in readers:
-        raise ValueError(f"Unsupported file format: {suffix}")
+        raise ValueError(f"no reader for '{suffix}' files")
     return readers[suffix](spark, path, schema)
 
 
@@ -158,7 +158,7 @@ def csv_to_jsonl(
 
 def alpaca_to_jsonl(spark: SparkSession, input_path: str, output_path: str, **options) -> None:
     if PurePosixPath(input_path).suffix not in (".json", ".jsonl"):
-        raise ValueError("Input file must be JSON or JSONL")
+        raise ValueError(f"instruction records come as .json or .jsonl: {input_path}")
     df = load_data(spark, input_path, ALPACA)
     chat = alpaca_to_chat(F.col("instruction"), F.col("input"), F.col("output"), **options)
     write_jsonl(df.select(chat.alias("messages")), output_path)

@@ -57,16 +57,15 @@ def test_render(over):
 
 
 def eval_pair(messages):
-    prompt, expected = [], ""
-    for m in messages:
-        if m["role"] == "assistant" and not prompt:
-            continue
-        elif m["role"] == "assistant":
-            expected = m["content"]
-            break
-        else:
-            prompt.append(m)
-    return ours(prompt), expected
+    """By position: the prompt is the slice between the first other turn and the next answer."""
+    answers = [i for i, m in enumerate(messages) if m["role"] == "assistant"]
+    others = [i for i in range(len(messages)) if i not in answers]
+    if not others:
+        return [], ""
+    following = [i for i in answers if i > others[0]]
+    end = following[0] if following else len(messages)
+    expected = messages[end]["content"] if following else ""
+    return ours(messages[others[0] : end]), expected
 
 
 def test_eval_pair(over):
@@ -134,7 +133,7 @@ def test_presets_and_formats(spark, over):
     assert "support agent for Initech." in text[0]
     with pytest.raises(ValueError):
         ch.preset_prompt("poet")
-    with pytest.raises(ValueError, match="Unsupported data format"):
+    with pytest.raises(ValueError, match="no rule for format"):
         ch.preprocess({}, "csv")
     no_input = {"instruction": F.lit("i"), "output": F.lit("o")}
     text = over([1], "int", lambda _: ch.preprocess(no_input, "alpaca", "P"))

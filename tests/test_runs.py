@@ -9,18 +9,15 @@ from chatprep.operators import runs as rn
 
 
 def stop_at(losses, patience, threshold):
-    best, bad, n = None, 0, 0
-    for loss in losses:
-        if loss is None:
-            continue
-        n += 1
-        if best is None or loss < best - threshold:
-            best, bad = loss, 0
-        else:
-            bad += 1
-        if bad >= patience:
-            return n, best
-    return None, best
+    """Hop from each best loss to the next better one, if that comes soon enough."""
+    evals = [x for x in losses if x is not None]
+    at = 0
+    while True:
+        near = range(at + 1, min(at + 1 + patience, len(evals)))
+        better = [j for j in near if evals[j] < evals[at] - threshold]
+        if not better:
+            return (at + 1 + patience if len(near) == patience else None), evals[at]
+        at = better[0]
 
 
 @pytest.mark.parametrize("chunk", [1, 2, 7, 1000])

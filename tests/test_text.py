@@ -16,8 +16,9 @@ few = settings(
 
 
 def clean(text):
-    text = re.sub(r"\s+", " ", text)
-    return re.sub(r"[^\w\s\-.,!?:;()]", "", text).strip()
+    """Character by character."""
+    kept = [c for c in " ".join(text.split()) if c.isalnum() or c in "_ " + tx.KEPT_PUNCTUATION]
+    return "".join(kept).strip()
 
 
 def test_whitespace_is_what_python_strips():
@@ -52,19 +53,15 @@ def test_cleaning_examples(over):
 
 
 def sections(text, patterns):
-    found, current = {"general": []}, "general"
-    for line in text.split("\n"):
-        line = line.strip()
-        if not line:
-            continue
-        for name, pattern in patterns.items():
-            if re.search(pattern, line):
-                current = name
-                found[current] = []
-                break
+    """Cut the text at its headers; of pieces with the same name the last one stays."""
+    pieces = [("general", [])]
+    for line in filter(None, map(str.strip, text.split("\n"))):
+        names = [name for name, pattern in patterns.items() if re.search(pattern, line)]
+        if names:
+            pieces.append((names[0], []))
         else:
-            found[current].append(line)
-    return found
+            pieces[-1][1].append(line)
+    return dict(pieces)
 
 
 def test_sections_example(over):
@@ -91,10 +88,11 @@ def test_section_rows_keep_line_numbers(spark):
     assert got == {(1, "general", 0, "a"), (1, "steps", 3, "b"), (1, "steps", 4, "c")}
 
 
-def mine(text, limit=20):
-    chunks = [c.strip() for c in clean(text).split("\n\n")]
-    useful = [c for c in chunks if len(c) > 50 and any(w in c.lower() for w in tx.USEFUL_WORDS)]
-    return [c for c in useful[:limit] if len(c.split()) > 10]
+def mine(text, per_document=20):
+    """The examples of a text that is cleaned before it is split: one at most."""
+    whole = clean(text)
+    hits = [word for word in tx.USEFUL_WORDS if word in whole.lower()]
+    return [whole] if hits and len(whole) > 50 and whole.count(" ") >= 10 else []
 
 
 def test_training_examples(spark):

@@ -55,7 +55,7 @@ def test_first_and_all_violations(spark):
 def test_required_fields(spark):
     va.check_required_fields(["messages", "x"], "chatml")
     va.check_required_fields([], "other")
-    with pytest.raises(ValueError, match="Required field 'output'"):
+    with pytest.raises(ValueError, match="column 'output'"):
         va.check_required_fields(["instruction"], "alpaca")
     lines = spark.createDataFrame([('{"messages":1}',), ('{"output":null}',), ("bad",)], "value string")
     got = {(r.format, r.field): (r.n_with_field, r.present)
@@ -71,6 +71,6 @@ def test_nonempty_messages(spark):
     rows = [(0, chat("u")), (1, []), (2, None)]
     df = spark.createDataFrame(rows, f"id int, messages {KIND}")
     assert tuple(va.validate_nonempty_messages(df, "id").first()) == (2, 1)
-    with pytest.raises(ValueError, match="index 1"):
+    with pytest.raises(ValueError, match="first with id 1"):
         va.check_nonempty_messages(df, "id")
     va.check_nonempty_messages(df.where("id = 0"), "id")
