@@ -24,8 +24,11 @@ def _assistant() -> Column:
 
 
 def first_turns(turns: DataFrame) -> DataFrame:
+    """``(conv_id, first_turn, has_system)``; all in numbers, which hash aggregation can hold."""
+    system = F.when(F.col("role") == "system", F.col("turn"))
     return turns.groupBy("conv_id").agg(
-        F.min("turn").alias("first_turn"), F.min_by("role", "turn").alias("first_role")
+        F.min("turn").alias("first_turn"),
+        F.min(system).eqNullSafe(F.min("turn")).alias("has_system"),
     )
 
 
@@ -39,7 +42,7 @@ def _system_rows(first: DataFrame, prompt: str) -> DataFrame:
 
 
 def ensure_system(turns: DataFrame, prompt: str = DEFAULT_SYSTEM_PROMPT) -> DataFrame:
-    lacking = first_turns(turns).where(~F.col("first_role").eqNullSafe("system"))
+    lacking = first_turns(turns).where(~F.col("has_system"))
     return turns.select(*COLUMNS).unionByName(_system_rows(lacking, prompt))
 
 
@@ -85,22 +88,32 @@ def _with_bounds(turns: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
+def answer_turns(turns: DataFrame) -> DataFrame:
+    """``(conv_id, first_turn, answer_turn)``: where the prompt begins and its first answer comes,
+    for conversations that have an answer. Texts are not read."""
+    asked = F.when(~_assistant(), F.col("turn"))
+    bounds = turns.groupBy("conv_id").agg(F.min(asked).alias("first"), F.max("turn").alias("last"))
+    answers = _with_bounds(
+        turns.where(_assistant()).select("conv_id", "turn"), bounds.where("first IS NOT NULL")
+    )
+    return answers.groupBy("conv_id", F.col("first").alias("first_turn")).agg(
+        F.min("turn").alias("answer_turn")
+    )
+
+
 def eval_pairs(turns: DataFrame) -> DataFrame:
     """``(conv_id, first_turn, answer_turn, expected_response)`` of conversations that have one.
 
     The prompt is the turns from ``first_turn`` up to, but without, ``answer_turn``.
     """
-    asked = F.when(~_assistant(), F.col("turn"))
-    bounds = turns.groupBy("conv_id").agg(F.min(asked).alias("first"), F.max("turn").alias("last"))
-    answers = (
-        _with_bounds(turns.where(_assistant()), bounds.where("first IS NOT NULL"))
-        .groupBy("conv_id", F.col("first").alias("first_turn"))
-        .agg(
-            F.min("turn").alias("answer_turn"),
-            F.min_by("content", "turn").alias("expected_response"),
-        )
+    said = turns.where(_assistant() & (F.length("content") > 0)).select(
+        "conv_id",
+        F.col("turn").alias("answer_turn"),
+        F.col("content").alias("expected_response"),
+    )
+    return answer_turns(turns).join(said, ["conv_id", "answer_turn"]).select(
+        "conv_id", "first_turn", "answer_turn", "expected_response"
     )
-    return answers.where(F.length("expected_response") > 0)
 
 
 def prompt_turns(turns: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -113,13 +126,19 @@ def prompt_turns(turns: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def conversation_prompt(turns: DataFrame) -> DataFrame:
     """Turns that are not the assistant's, or that say the same as the conversation's first."""
+    spoken = F.when(_assistant(), F.col("turn"))
     opening = turns.groupBy("conv_id").agg(
         F.min("turn").alias("first"),
         F.max("turn").alias("last"),
-        F.min_by("role", "turn").alias("first_role"),
-        F.min_by("content", "turn").alias("first_content"),
+        F.min(spoken).alias("first_spoken"),
+    )
+    # Only conversations that the assistant opens can repeat its first words.
+    opened = opening.where("first = first_spoken").drop("first_spoken")
+    assistant = turns.where(_assistant())
+    words = assistant.select(
+        "conv_id", F.col("turn").alias("first"), F.col("content").alias("first_content")
+    )
+    repeated = _with_bounds(assistant, opened.join(words, ["conv_id", "first"])).where(
+        F.col("content").eqNullSafe(F.col("first_content"))
     )
-    repeated = _with_bounds(
-        turns.where(_assistant()), opening.where("first_role = 'assistant'").drop("first_role")
-    ).where(F.col("content").eqNullSafe(F.col("first_content")))
     return turns.where(~_assistant()).select(*COLUMNS).unionByName(repeated.select(*COLUMNS))

@@ -88,9 +88,8 @@ def expected_answer_coherence(spark, sf_dir):
     """How coherent the expected answers are, by the length of their prompt."""
     turns = inputs.turns(spark, sf_dir)
     pairs = tn.eval_pairs(turns)
-    sizes = tn.prompt_turns(turns, pairs).groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("prompt_turns")
-    )
+    prompts = tn.prompt_turns(turns, tn.answer_turns(turns))
+    sizes = prompts.groupBy("conv_id").agg(F.count(F.lit(1)).alias("prompt_turns"))
     expected = F.col("expected_response")
     return (
         pairs.join(sizes, "conv_id")
