@@ -20,11 +20,13 @@ DEFAULT_SYSTEM_PROMPT = "You are a helpful assistant."
 
 @dataclass(frozen=True)
 class Template:
-    """How one message is written into the training text. The default is the public ChatML form."""
+    """How one message is written into the training text. The default is the public ChatML form;
+    ``missing`` is what a template prints for a null."""
 
     before_role: str = "<|im_start|>"
     after_role: str = "\n"
     after_content: str = "<|im_end|>\n"
+    missing: str = "None"
 
 
 CHATML = Template()
@@ -71,19 +73,22 @@ def append_turn(messages: Column, role: str, content: Column) -> Column:
     return F.concat(_present(messages), F.array(message(role, content)))
 
 
-def render_chat(messages: Column, template: Template = CHATML) -> Column:
-    """All messages as one training text."""
+def render_message(role: Column, content: Column, template: Template = CHATML) -> Column:
+    """One message of a training text; a missing role or content reads ``template.missing``."""
+    return F.concat(
+        F.lit(template.before_role),
+        F.coalesce(role, F.lit(template.missing)),
+        F.lit(template.after_role),
+        F.coalesce(content, F.lit(template.missing)),
+        F.lit(template.after_content),
+    )
 
-    def one(m: Column) -> Column:
-        return F.concat(
-            F.lit(template.before_role),
-            m["role"],
-            F.lit(template.after_role),
-            m["content"],
-            F.lit(template.after_content),
-        )
 
-    return F.array_join(F.transform(messages, one), "")
+def render_chat(messages: Column, template: Template = CHATML) -> Column:
+    """All messages as one training text."""
+    return F.array_join(
+        F.transform(messages, lambda m: render_message(m["role"], m["content"], template)), ""
+    )
 
 
 def render_prompt(messages: Column, template: Template = CHATML) -> Column:
@@ -176,8 +181,8 @@ def format_preset(messages: Column, name: str, company_name: str = "ACME") -> Co
 
 
 def gsm8k_gold(answer: Column) -> Column:
-    """The text after the last answer mark."""
-    return strip(F.substring_index(answer, ANSWER_MARK, -1))
+    """The text after the last answer mark, marks being found from the left."""
+    return strip(F.element_at(F.split(answer, ANSWER_MARK), -1))
 
 
 def gsm8k_to_chat(question: Column, answer: Column) -> Column:

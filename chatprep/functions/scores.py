@@ -26,19 +26,6 @@ CONVERSATIONAL = (
     "think about",
     "remember",
 )
-SAFETY = (
-    "safety",
-    "careful",
-    "danger",
-    "warning",
-    "caution",
-    "properly",
-    "professional",
-    "torque",
-    "spec",
-    "manual",
-    "never",
-)
 
 
 def tokens_per_second(tokens: Column, seconds: Column) -> Column:
@@ -71,11 +58,11 @@ def coherence_score(text: Column) -> Column:
     return F.when(has_more_words(text, 0), score).when(text.isNotNull(), 0.0)
 
 
-def has_any(text: Column, phrases: Iterable[str]) -> Column:
+def has_any(text: Column, phrases: Iterable[str] = CONVERSATIONAL) -> Column:
     return contains_any(text, phrases)
 
 
-def has_none(text: Column, phrases: Iterable[str]) -> Column:
+def has_none(text: Column, phrases: Iterable[str] = FORCED_ENDINGS) -> Column:
     return ~contains_any(text, phrases)
 
 

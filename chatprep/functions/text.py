@@ -102,9 +102,13 @@ def useful_chunks(
     return F.transform(kept, strip)
 
 
-def limit_chunks(chunks: Column, per_document: int = 20, min_words: int = 10) -> Column:
-    """The first ``per_document`` chunks, then those of them with more than ``min_words`` words."""
-    return F.filter(F.slice(chunks, 1, per_document), lambda c: has_more_words(c, min_words))
+def limit_chunks(
+    chunks: Column, per_document: int | None = 20, min_words: int = 10
+) -> Column:
+    """The first ``per_document`` chunks (None: all), then those of them with more than
+    ``min_words`` words."""
+    taken = chunks if per_document is None else F.slice(chunks, 1, per_document)
+    return F.filter(taken, lambda c: has_more_words(c, min_words))
 
 
 def chunk_topic(chunk: Column, n_words: int = 10) -> Column:

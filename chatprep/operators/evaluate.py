@@ -11,30 +11,34 @@ from pyspark.sql import functions as F
 
 from chatprep.functions.chat import conversation_id, conversation_prompt, eval_pair
 from chatprep.functions.scores import coherence_score, response_length, tokens_per_second
+from chatprep.operators.joins import null_safe_join
 from chatprep.operators.ranks import summarize
 from chatprep.operators.sample import head_limit
 from chatprep.schema import GENERATION
 
 Messages = list[dict[str, str]]
-#: Takes one conversation, gives (response, seconds, tokens).
-Generator = Callable[[Messages], tuple[str, float, int]]
+#: Takes a batch of conversations, gives (response, seconds, tokens) of each.
+Generator = Callable[[list[Messages]], Sequence[tuple[str, float, int]]]
 #: Called once per task with the generation options; loads the model and gives the generator.
 GeneratorFactory = Callable[[Mapping], Generator]
 
 RESULT_COLUMNS = ("response", "generation_time", "tokens_generated", "tokens_per_second")
+BATCH_SIZE = 64
 ALL_METRICS = ("response_length", "generation_time", "coherence_score")
 
 
 def _generate(
     messages: Column,
     factory: GeneratorFactory,
+    batch_size: int,
     defaults: Mapping | None = None,
     **overrides,
 ) -> Column:
     """``struct<response, generation_time, tokens_generated>`` by the caller's generator.
 
     The one Python step: Arrow batches of the ``messages`` column alone go to the worker, all other
-    columns stay in the JVM. ``overrides`` win over ``defaults``. Generation may differ from call to
+    columns stay in the JVM. The generator is called with up to ``batch_size`` conversations and must
+    give as many results. ``overrides`` win over ``defaults``. Generation may differ from call to
     call, so the expression is marked as non-deterministic and never evaluated twice per row by the
     optimizer; store its result before reading it more than once.
     """
@@ -42,12 +46,18 @@ def _generate(
 
     @F.pandas_udf(GENERATION)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        one = factory(options)
+        generate = factory(options)
         for batch in batches:
-            rows = [
-                one([{"role": m["role"], "content": m["content"]} for m in conversation])
-                for conversation in batch
-            ]
+            rows = []
+            for at in range(0, len(batch), batch_size):
+                asked = [
+                    [{"role": m["role"], "content": m["content"]} for m in conversation]
+                    for conversation in batch[at : at + batch_size]
+                ]
+                answers = generate(asked)
+                if len(answers) != len(asked):
+                    raise ValueError(f"{len(asked)} conversations got {len(answers)} results")
+                rows.extend(answers)
             yield pd.DataFrame(rows, columns=GENERATION.fieldNames())
 
     return run.asNondeterministic()(messages)
@@ -58,21 +68,23 @@ def batch_generate(
     factory: GeneratorFactory,
     messages: str = "messages",
     partitions: int | None = None,
+    batch_size: int = BATCH_SIZE,
     defaults: Mapping | None = None,
     **overrides,
 ) -> DataFrame:
     """``df`` with the generation result columns.
 
-    Generation costs far more than moving the prompts, so the conversations are first spread evenly
-    over ``partitions`` tasks (the session's number of shuffle partitions by default), whatever the
-    layout of the input. The exchange also keeps the expression that builds the prompts out of the
-    Python step.
+    The conversations stay in their partitions. Generation costs far more than moving the prompts,
+    so where the input has too few or uneven ones, name a number of ``partitions`` to spread the
+    conversations over.
     """
-    if not partitions:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = df.repartition(partitions)
+    # The generator keeps the expression that builds the prompts out of the Python step.
+    asked = {messages: F.explode(F.array(F.col(messages))).alias(messages)}
+    spread = df.repartition(partitions) if partitions else df.select(
+        *[asked.get(c, F.col(c)) for c in df.columns]
+    )
     result = spread.withColumn(
-        "_result", _generate(F.col(messages), factory, defaults, **overrides)
+        "_result", _generate(F.col(messages), factory, batch_size, defaults, **overrides)
     )
     return result.select(*df.columns, "_result.*").withColumn(
         "tokens_per_second", tokens_per_second(F.col("tokens_generated"), F.col("generation_time"))
@@ -136,8 +148,9 @@ def evaluate_on_dataset(
 
 
 def evaluate_quick(
-    df: DataFrame, row_id: str, factory: GeneratorFactory, output_path: str, max_samples: int = 50
+    df: DataFrame, row_id: str, factory: GeneratorFactory, output_path: str, max_samples: int | None
 ) -> DataFrame:
+    """The metrics alone, of the first ``max_samples`` records (None: of all)."""
     return evaluate_on_dataset(df, row_id, factory, output_path, max_samples)[1]
 
 
@@ -175,15 +188,19 @@ METRIC_COLUMNS = ("generation_time", "tokens_per_second", "tokens_generated")
 
 
 def eval_metrics(details: DataFrame) -> DataFrame:
-    """One row: count, sums, means and exact medians. Reads ``details`` several times; store it."""
+    """One row: count, sums, means and exact medians. Reads ``details`` several times; store it.
+
+    ``total_samples`` counts rows; nulls are left out of sums, means and medians.
+    """
     long = summarize(details, METRIC_COLUMNS)
+    rows = details.agg(F.count(F.lit(1)).alias("total_samples"))
 
     def of(metric: str, column: str) -> Column:
         return F.max(F.when(F.col("metric") == metric, F.col(column)))
 
     time, speed, tokens = METRIC_COLUMNS
     return long.agg(
-        F.coalesce(of(time, "n"), F.lit(0)).alias("total_samples"),
+        F.lit(rows.scalar()).alias("total_samples"),
         of(time, "total").alias("total_generation_time"),
         of(tokens, "total").cast("bigint").alias("total_tokens_generated"),
         of(time, "mean").alias("avg_generation_time"),
@@ -248,16 +265,28 @@ def accuracy(
 def best_checkpoint(
     log: DataFrame, by: Sequence[str], step: str, train_loss: str, eval_loss: str
 ) -> DataFrame:
-    """The step with the smallest gap between the two losses, the earliest one if equal."""
+    """The step with the smallest gap between the two losses, the earliest one if equal.
+
+    Two hash aggregates over numbers, where one over a struct would sort the log.
+    """
     gap = F.abs(F.col(eval_loss) - F.col(train_loss))
-    scored = log.select(*by, F.struct(gap.alias("gap"), F.col(step).alias("step")).alias("s"))
-    best = scored.where("s.gap IS NOT NULL").groupBy(*by).agg(F.min("s").alias("s"))
-    return best.select(*by, F.col("s.step").alias("best_step"), F.col("s.gap").alias("gap"))
+    scored = log.select(*by, gap.alias("gap"), F.col(step).alias("_step")).where("gap IS NOT NULL")
+    least = scored.groupBy(*by).agg(F.min("gap").alias("gap"))
+    best = null_safe_join(scored, least, [*by, "gap"])
+    return best.groupBy(*by, "gap").agg(F.min("_step").alias("best_step")).select(
+        *by, "best_step", "gap"
+    )
 
 
 def ensemble_results(
     scores: DataFrame, methods: Sequence[str], model: str = "model",
     method: str = "method", score: str = "score",
 ) -> DataFrame:
-    """One row per model with a column per method."""
+    """One row per model with a column per method. ``(model, method)`` is unique: two scores of one
+    pair are an error, null ones aside."""
+    several = F.raise_error(
+        F.concat_ws(" ", F.lit("several scores of"), F.first(model), F.first(method))
+    ).cast("double")
+    one = F.when(F.count(score) > 1, several).otherwise(F.max(score)).alias(score)
+    scores = scores.groupBy(model, method).agg(one)
     return scores.groupBy(model).pivot(method, list(methods)).agg(F.max(score))

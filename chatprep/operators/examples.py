@@ -7,7 +7,7 @@ out as rows, so no step shuffles.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +27,13 @@ DOCUMENTATION_QUESTION = "Can you explain this process from the documentation?"
 @dataclass(frozen=True)
 class MiningRules:
     """``clean_first`` cleans before splitting, which turns line breaks into spaces and so leaves
-    one chunk per document; without it each chunk is cleaned by itself."""
+    one chunk per document; without it each chunk is cleaned by itself. ``per_document`` takes only
+    so many useful chunks of a document; ``chunks_cut`` counts the others."""
 
     separator: str = "\n\n"
     indicators: tuple[str, ...] = tx.USEFUL_WORDS
     min_chars: int = 50
-    per_document: int = 20
+    per_document: int | None = None
     min_words: int = 10
     clean_first: bool = True
 
@@ -76,6 +77,14 @@ def mined_chunks(text: Column, rules: MiningRules = MiningRules()) -> Column:
     return tx.limit_chunks(useful, rules.per_document, rules.min_words)
 
 
+def chunks_cut(text: Column, rules: MiningRules) -> Column:
+    """How many useful chunks of a document ``per_document`` leaves out."""
+    if rules.per_document is None:
+        return F.lit(0)
+    unlimited = replace(rules, per_document=None, min_words=-1)
+    return F.greatest(F.size(mined_chunks(text, unlimited)) - rules.per_document, F.lit(0))
+
+
 def example_chat(chunk: Column) -> Column:
     opening = build_chat(F.lit(DOCUMENTATION_QUESTION), prompt=DOCUMENTATION_PROMPT)
     return append_turn(opening, "assistant", chunk)

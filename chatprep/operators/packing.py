@@ -6,19 +6,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Ranges that a wider range holds, and how often ranges are joined into wider ones.
+RANGES = 1 << 16
+LEVELS = 2
+
+
+def _offsets(sums: DataFrame, levels: int) -> DataFrame:
+    """``(_range, _offset)``: the sum of all ranges before each one."""
+    own = F.sum("_sum").over(
+        (Window.partitionBy("_wide") if levels else Window.partitionBy()).orderBy("_range")
+    ) - F.col("_sum")
+    if not levels:
+        return sums.select("_range", own.alias("_offset"))
+    wide = sums.withColumn("_wide", F.expr(f"_range div {RANGES}"))
+    wider = wide.groupBy(F.col("_wide").alias("_range")).agg(F.sum("_sum").alias("_sum"))
+    before = _offsets(wider, levels - 1).select(
+        F.col("_range").alias("_wide"), F.col("_offset").alias("_before")
+    )
+    inside = wide.withColumn("_inside", own)
+    return inside.join(before, "_wide", "left").select(
+        "_range", (F.col("_inside") + F.col("_before")).alias("_offset")
+    )
+
+
 def running_total(df: DataFrame, row_id: str, value: str, width: int = 1 << 16) -> DataFrame:
     """Adds ``before``, the sum of ``value`` over all rows with a smaller id.
 
-    Ids are unique integers. Ranges of ``width`` ids are summed first; a window over that short
-    table gives each range its offset, and a window inside the range, of at most ``width`` rows,
-    does the rest. All steps share one exchange by range, and ``df`` is computed once.
+    Ids are unique integers. Ranges of ``width`` ids are summed first, then ranges of ``RANGES``
+    such ranges, and so on for a fixed number of levels that covers 64-bit ids. A window inside the
+    next wider range gives each range its offset, so no window has more than ``width`` rows or
+    ``RANGES`` sums, however sparse the ids are. The rows have one exchange, by range.
     """
     ranged = df.withColumn("_range", F.expr(f"`{row_id}` div {width}")).repartition("_range")
-    # Ordered by first id, so that both uses of the exchange read the same columns.
+    # With the first id, so that both uses of the exchange read the same columns.
     sums = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"), F.min(row_id).alias("_first"))
-    offsets = sums.select(
-        "_range", (F.sum("_sum").over(Window.orderBy("_first")) - F.col("_sum")).alias("_offset")
-    )
+    offsets = _offsets(sums.select("_range", "_sum"), LEVELS)
     inside = Window.partitionBy("_range").orderBy(row_id).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

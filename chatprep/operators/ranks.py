@@ -14,6 +14,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatprep.operators.joins import null_safe_join
+
+#: Bits of an id that one level of ``nth_id`` looks at.
+ID_BITS = 16
 VALUE_BINS = 65536
 VALUE_LEVELS = 2
 
@@ -51,30 +55,41 @@ def hash_cut(
 
     ``key`` identifies a row. Gives one row ``(by, cut)`` per group, with ``cut`` the struct
     ``(h, *key)`` of the last row taken; a group of which nothing is taken has no row. ``by`` must
-    have few values (the data sets named by the caller): its table of cuts is broadcast.
+    name data sets, which the table of cuts has one row each of. More or fewer rows than a group
+    has, or less than none, cannot be taken: the job fails.
     """
     group = [by] if by else []
     rows = df.select(*group, *key, order_hash(key, seed).alias("h"))
 
+    def small(frame: DataFrame) -> DataFrame:
+        # One row without groups; else Spark decides by the size.
+        return frame if by else F.broadcast(frame)
+
     def counted(frame: DataFrame, digits: int, carry: Sequence[str]) -> DataFrame:
         prefix = F.substring("h", 1, digits).alias("bucket")
         return frame.groupBy(*group, *carry, prefix).agg(F.count(F.lit(1)).alias("n"))
 
     first = counted(rows, 3, [])
     total = F.sum("n").over(Window.partitionBy(*group))
-    wanted = first.withColumn("k", take(total))
-    goal = _holding_rank(wanted, group, ["bucket"])
+    possible = F.when(
+        (F.col("k") < 0) | (F.col("k") > F.col("total")),
+        F.raise_error(
+            F.format_string("cannot take %d of %d rows", F.col("k"), F.col("total"))
+        ).cast("bigint"),
+    ).otherwise(F.col("k"))
+    wanted = first.withColumn("total", total).withColumn("k", take(F.col("total")))
+    goal = _holding_rank(wanted.withColumn("k", possible).drop("total"), group, ["bucket"])
 
     # Second level: another 3 hex digits inside the chosen bucket, then the ranking itself.
     inside = rows.withColumn("bucket", F.substring("h", 1, 3)).join(
-        F.broadcast(goal), [*group, "bucket"]
+        small(goal), [*group, "bucket"]
     )
     second = counted(inside.drop("bucket"), 6, ["k"])
     goal = _holding_rank(second, group, ["bucket"])
 
     # Copies of a key, which there should be none of, are counted and not ranked one by one.
     inside = rows.withColumn("bucket", F.substring("h", 1, 6)).join(
-        F.broadcast(goal), [*group, "bucket"]
+        small(goal), [*group, "bucket"]
     )
     third = inside.groupBy(*group, "bucket", "h", *key, "k").agg(F.count(F.lit(1)).alias("n"))
     last = _holding_rank(third, [*group, "bucket"], ["h", *key], keep_size=True)
@@ -91,10 +106,37 @@ def before_cut(
     place = F.struct(order_hash(key, seed).alias("h"), *[F.col(k) for k in key])
     if by is None:
         return df, F.coalesce(place <= cut.scalar(), F.lit(False))
-    joined = df.join(F.broadcast(cut), by, "left")
+    joined = null_safe_join(df, cut, [by], "left")
     return joined, F.coalesce(place <= F.col("cut"), F.lit(False))
 
 
+def nth_id(df: DataFrame, row_id: str, n: int) -> DataFrame:
+    """One row ``cut``: the ``n``-th smallest of the integer ids, no row if there are fewer.
+
+    Each level counts the ids per value of the next 16 bits, among those that share the bits found
+    so far; so at most 65,536 counts are ranked at a time, whatever ``n`` is.
+    """
+    # With the sign bit turned, ids are in the order of their bits.
+    turned = F.col(row_id).cast("bigint").bitwiseXOR(F.lit(-(1 << 63)).cast("bigint"))
+    ids = df.where(F.col(row_id).isNotNull()).select(turned.alias("x"))
+    goal = None
+    for shift in range(64 - ID_BITS, -1, -ID_BITS):
+        if goal is None:
+            rows = ids.withColumn("k", F.lit(n).cast("bigint"))
+        else:
+            above = F.shiftrightunsigned("x", shift + ID_BITS)
+            rows = ids.withColumn("bucket", above).join(F.broadcast(goal), "bucket").drop("bucket")
+        counts = rows.groupBy("k", F.shiftrightunsigned("x", shift).alias("bucket")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        # Buckets hold unsigned numbers; only the last level uses the sign bit.
+        order = F.col("bucket").bitwiseXOR(F.lit(-(1 << 63)).cast("bigint")) if shift == 0 else "bucket"
+        goal = _holding_rank(counts, [], [order])
+    return goal.select(
+        F.col("bucket").bitwiseXOR(F.lit(-(1 << 63)).cast("bigint")).alias("cut")
+    )
+
+
 def summarize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(metric, n, total, mean, lo, hi, median)``, one row per column.
 

@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatprep.functions.binding import let
+from chatprep.operators.joins import null_safe_join
 
 RUN_ID = ("project", "experiment", "run")
 
+# The notes at the two ends of a run.
+STARTED_NOTE = "Training started at step "
+COMPLETED_NOTE = "Training completed at step "
+
 
 # ---- metric log --------------------------------------------------------------------------------
 
@@ -28,8 +33,16 @@ def numeric_value(value: Column) -> Column:
 def filter_numeric_metrics(
     df: DataFrame, metrics: str = "metrics", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """``(key, value)`` of the numeric entries of a JSON object column; booleans count as 0 / 1."""
-    entries = F.from_json(F.col(metrics), T.MapType(T.StringType(), T.VariantType()))
+    """``(key, value)`` of the numeric entries of a JSON object column; booleans count as 0 / 1.
+
+    A null (or a JSON null) has no entries; a text that is no JSON object is an error.
+    """
+    kind = T.MapType(T.StringType(), T.VariantType())
+    text = F.col(metrics)
+    problem = F.raise_error(F.concat(F.lit("not a JSON object of metrics: "), F.left(text, F.lit(200))))
+    entries = F.from_json(text, kind)
+    malformed = text.isNotNull() & entries.isNull() & (F.trim(text) != "null")
+    entries = F.when(malformed, problem.cast(kind)).otherwise(entries)
     exploded = df.select(*keep, F.explode(entries).alias("key", "v"))
     return exploded.select(*keep, "key", numeric_value(F.col("v")).alias("value")).where(
         F.col("value").isNotNull()
@@ -47,8 +60,8 @@ def log_text(log: DataFrame, run: Sequence[str] = RUN_ID, step: str = "step") ->
     """``(*run, key, text)``: a note at the first and one at the last step of each run."""
     ends = log.groupBy(*run).agg(F.min(step).alias("first"), F.max(step).alias("last"))
     notes = F.array(
-        F.concat(F.lit("Training started at step "), F.col("first").cast("string")),
-        F.concat(F.lit("Training completed at step "), F.col("last").cast("string")),
+        F.concat(F.lit(STARTED_NOTE), F.col("first").cast("string")),
+        F.concat(F.lit(COMPLETED_NOTE), F.col("last").cast("string")),
     )
     return ends.select(*run, F.lit("training_log").alias("key"), F.explode(notes).alias("text"))
 
@@ -56,14 +69,33 @@ def log_text(log: DataFrame, run: Sequence[str] = RUN_ID, step: str = "step") ->
 def elapsed_minutes(log: DataFrame, run: Sequence[str], ts: str = "ts") -> DataFrame:
     """Adds ``training_time_minutes`` since the run's first entry.
 
-    The start is a partial aggregate joined back by equality, so that a run with very many entries
-    is not gathered in one task.
+    The start comes from partial aggregates per run and hour, and is joined back by run and hour, so
+    that a run with very many entries is not gathered in one task. Entries of a null run are one
+    run; an entry without a time gets a null.
     """
-    start = log.groupBy(*run).agg(F.min(ts).alias("_start"))
+    hour = F.date_trunc("hour", F.col(ts))
+    hours = log.groupBy(*run, hour.alias("_hour")).agg(F.min(ts).alias("_first"))
+    start = hours.groupBy(*run).agg(F.min("_first").alias("_start"))
+    spread = null_safe_join(hours.drop("_first"), start, list(run))
     micros = F.timestamp_diff("MICROSECOND", F.col("_start"), F.col(ts))
-    return log.join(start, list(run)).withColumn(
-        "training_time_minutes", micros / 60_000_000
-    ).drop("_start")
+    timed = null_safe_join(log.withColumn("_hour", hour), spread, [*run, "_hour"])
+    return timed.withColumn("training_time_minutes", micros / 60_000_000).drop("_start", "_hour")
+
+
+def closing_entries(
+    log: DataFrame, run: Sequence[str] = RUN_ID, step: str = "step", ts: str = "ts"
+) -> DataFrame:
+    """``(*run, step, key, value)``: the metric entries that end each run, its whole time in minutes
+    and its last step."""
+    ends = log.groupBy(*run).agg(
+        F.max(step).alias(step),
+        (F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts)) / 60_000_000).alias("_minutes"),
+    )
+    entries = F.array(
+        F.struct(F.lit("total_training_time_minutes").alias("key"), F.col("_minutes").alias("value")),
+        F.struct(F.lit("final_global_step").alias("key"), F.col(step).cast("double").alias("value")),
+    )
+    return ends.select(*run, step, F.inline(entries))
 
 
 # ---- configuration -----------------------------------------------------------------------------
@@ -137,7 +169,11 @@ def _nothing() -> Column:
 
 
 def _improves(state: Column, loss: Column, threshold: float) -> Column:
-    return state["best"].isNull() | (loss < state["best"] - F.lit(float(threshold)))
+    # Spark holds NaN above all numbers; here it beats nothing, and nothing beats it.
+    comparable = ~F.isnan(loss) & ~F.isnan(state["best"])
+    return state["best"].isNull() | (
+        comparable & (loss < state["best"] - F.lit(float(threshold)))
+    )
 
 
 def _after(state: Column, loss: Column, patience: int, threshold: float) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatprep.operators.ranks import before_cut, hash_cut
+from chatprep.operators.ranks import before_cut, hash_cut, nth_id
 
 
 def train_rows(n: Column, val_ratio: float) -> Column:
@@ -23,6 +23,8 @@ def split_dataset(
 
     ``key`` identifies a row.
     """
+    if not 0 <= val_ratio <= 1:
+        raise ValueError(f"a share of the rows is between 0 and 1: {val_ratio}")
     cut = hash_cut(df, key, lambda n: train_rows(n, val_ratio), seed)
     df, in_train = before_cut(df, key, cut, seed)
     return df.withColumn("split", F.when(in_train, "train").otherwise("validation"))
@@ -35,13 +37,20 @@ def split_counts(split: DataFrame) -> DataFrame:
 def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows without replacement; asking for more than there are is an error."""
 
+    if n < 0:
+        raise ValueError(f"a sample has no negative size: {n}")
+    problem = F.raise_error(F.lit(f"sample of {n} is larger than the data set"))
+
     def take(total: Column) -> Column:
-        problem = F.raise_error(F.lit(f"sample of {n} is larger than the data set"))
         return F.when(total < n, problem.cast("bigint")).otherwise(F.lit(n).cast("bigint"))
 
     cut = hash_cut(df, key, take, seed)
-    df, taken = before_cut(df, key, cut, seed)
-    return df.where(taken)
+    rows, taken = before_cut(df, key, cut, seed)
+    # An empty table has no bucket in which that could fail; its count does.
+    enough = F.when(F.count(F.lit(1)) < n, problem.cast("boolean")).otherwise(F.lit(False))
+    short = df.agg(enough.alias("short"))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]
+    return rows.where(taken).unionByName(short.where("short").select(*nothing))
 
 
 def mix_datasets(
@@ -71,7 +80,11 @@ def mix_sources(
     seed: int = 42,
     source: str = "source",
 ) -> DataFrame:
-    """The same for one table that holds all data sets, told apart by ``source``."""
+    """The same for one table that holds all data sets, told apart by ``source``. Sources without a
+    weight are left out."""
+    for name, weight in weights.items():
+        if not 0 <= weight <= 1:
+            raise ValueError(f"a share of '{name}' is between 0 and 1: {weight}")
     share = F.create_map(*[F.lit(x) for kv in weights.items() for x in (kv[0], float(kv[1]))])
     df = df.where(F.col(source).isin(*weights))
 
@@ -85,5 +98,13 @@ def mix_sources(
 
 
 def head_limit(df: DataFrame, max_samples: int | None, row_id: str) -> DataFrame:
-    """The first ``max_samples`` records by row id; no limit for 0 or None."""
-    return df.orderBy(row_id).limit(max_samples) if max_samples else df
+    """The first ``max_samples`` records by row id, an integer that is unique and never null; no
+    limit for 0 or None.
+
+    The last id taken is found from counts per range of ids, and each row compared with it, so the
+    rows stay where they are.
+    """
+    if not max_samples:
+        return df
+    cut = nth_id(df, row_id, max_samples)
+    return df.where(F.coalesce(F.col(row_id) <= cut.scalar(), F.lit(True)))

@@ -4,6 +4,7 @@ A stored chat record is one array and fits a row. A table of single turns has no
 conversation may hold a large part of it. Here turns stay rows. Per conversation only small
 aggregates are computed, with partial aggregation before the shuffle, and joined back per range of
 turns, so that a long conversation is spread over many tasks. No turns are collected into arrays.
+Turns whose ``conv_id`` is null are one conversation.
 
 Columns: ``conv_id, turn, role, content``; ``(conv_id, turn)`` is unique, turns count up.
 """
@@ -13,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatprep.functions.chat import CHATML, DEFAULT_SYSTEM_PROMPT, Template
+from chatprep.functions.chat import CHATML, DEFAULT_SYSTEM_PROMPT, Template, render_message
+from chatprep.operators.joins import null_safe_join
 
 COLUMNS = ("conv_id", "turn", "role", "content")
 TURNS_PER_RANGE = 1 << 16
@@ -53,19 +55,13 @@ def prepend_system(turns: DataFrame, prompt: str = DEFAULT_SYSTEM_PROMPT) -> Dat
 def append_turn(turns: DataFrame, role: str, contents: DataFrame) -> DataFrame:
     """``contents(conv_id, content)`` as a last turn of its conversation."""
     last = turns.groupBy("conv_id").agg((F.max("turn") + 1).alias("turn"))
-    added = last.join(contents, "conv_id").withColumn("role", F.lit(role))
+    added = null_safe_join(last, contents, ["conv_id"]).withColumn("role", F.lit(role))
     return turns.select(*COLUMNS).unionByName(added.select(*COLUMNS))
 
 
 def render_turns(turns: DataFrame, template: Template = CHATML) -> DataFrame:
     """The piece of training text of each turn; in turn order they make up the conversation's."""
-    text = F.concat(
-        F.lit(template.before_role),
-        "role",
-        F.lit(template.after_role),
-        "content",
-        F.lit(template.after_content),
-    )
+    text = render_message(F.col("role"), F.col("content"), template)
     return turns.select("conv_id", "turn", text.alias("text"))
 
 
@@ -74,15 +70,18 @@ def _with_bounds(turns: DataFrame, bounds: DataFrame) -> DataFrame:
     turns from ``first`` to ``last``.
 
     Both sides are keyed by conversation and range of turns; nearly all conversations lie in one.
+    Only ranges that have turns are made, so turns may be as far apart as time stamps.
     """
 
     def range_of(turn: str) -> Column:
         return F.expr(f"{turn} div {TURNS_PER_RANGE}")
 
-    spread = bounds.withColumn("_range", F.explode(F.sequence(range_of("first"), range_of("last"))))
+    ranges = turns.select("conv_id", range_of("turn").alias("_range")).distinct()
+    inside = (F.col("_range") >= range_of("first")) & (F.col("_range") <= range_of("last"))
+    spread = null_safe_join(ranges, bounds, ["conv_id"]).where(inside)
+    ranged = turns.withColumn("_range", range_of("turn"))
     return (
-        turns.withColumn("_range", range_of("turn"))
-        .join(spread, ["conv_id", "_range"])
+        null_safe_join(ranged, spread, ["conv_id", "_range"])
         .where((F.col("turn") >= F.col("first")) & (F.col("turn") <= F.col("last")))
         .drop("_range")
     )
@@ -111,11 +110,42 @@ def eval_pairs(turns: DataFrame) -> DataFrame:
         F.col("turn").alias("answer_turn"),
         F.col("content").alias("expected_response"),
     )
-    return answer_turns(turns).join(said, ["conv_id", "answer_turn"]).select(
+    return null_safe_join(answer_turns(turns), said, ["conv_id", "answer_turn"]).select(
         "conv_id", "first_turn", "answer_turn", "expected_response"
     )
 
 
+def eval_pairs_sized(turns: DataFrame) -> DataFrame:
+    """``eval_pairs`` with ``prompt_turns``, the number of turns of the prompt.
+
+    The prompts are counted where the answers are looked for: a prompt holds all turns from its
+    first one up to the answer, so it is enough to count those within each conversation's bounds.
+    """
+    found = answer_turns(turns)
+    bounds = found.select(
+        "conv_id", F.col("first_turn").alias("first"), F.col("answer_turn").alias("last")
+    )
+    # Only the answer's own row carries its text.
+    is_answer = F.col("turn") == F.col("last")
+    within = _with_bounds(turns, bounds).select(
+        "conv_id",
+        "first",
+        "last",
+        F.when(is_answer, F.col("content")).alias("said"),
+        F.when(is_answer, 0).otherwise(1).alias("asks"),
+    )
+    sized = within.groupBy("conv_id", "first", "last").agg(
+        F.max("said").alias("expected_response"), F.sum("asks").alias("prompt_turns")
+    )
+    return sized.where(F.length("expected_response") > 0).select(
+        "conv_id",
+        F.col("first").alias("first_turn"),
+        F.col("last").alias("answer_turn"),
+        "expected_response",
+        "prompt_turns",
+    )
+
+
 def prompt_turns(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     """The turns of each evaluation prompt."""
     bounds = pairs.select(
@@ -138,7 +168,8 @@ def conversation_prompt(turns: DataFrame) -> DataFrame:
     words = assistant.select(
         "conv_id", F.col("turn").alias("first"), F.col("content").alias("first_content")
     )
-    repeated = _with_bounds(assistant, opened.join(words, ["conv_id", "first"])).where(
+    opened = null_safe_join(opened, words, ["conv_id", "first"])
+    repeated = _with_bounds(assistant, opened).where(
         F.col("content").eqNullSafe(F.col("first_content"))
     )
     return turns.where(~_assistant()).select(*COLUMNS).unionByName(repeated.select(*COLUMNS))

@@ -104,11 +104,20 @@ def filter_nonempty_text(spark, sf_dir):
 
 @query(
     "filter_has_expected",
+    f"""WITH {sql.PAIRS} SELECT doc_id, expected AS expected_response FROM pairs""",
+)
+def filter_has_expected(spark, sf_dir):
+    pairs = ev.eval_pairs(inputs.chat(spark, sf_dir), keep_all=True)
+    return va.filter_has_expected(pairs).select("doc_id", "expected_response")
+
+
+@query(
+    "skipped_samples",
     f"""WITH {sql.PAIRS}, counted AS (SELECT count(*) AS n FROM pairs)
 SELECT (SELECT count(*) FROM documents) AS n_samples,
   (SELECT count(*) FROM documents) - n AS n_skipped FROM counted""",
 )
-def filter_has_expected(spark, sf_dir):
+def skipped_samples(spark, sf_dir):
     return va.skipped_samples(ev.eval_pairs(inputs.chat(spark, sf_dir), keep_all=True))
 
 

@@ -20,11 +20,14 @@ def echo_factory():
     millisecond, a word is a token. Defined inside a function, so that it is shipped by value."""
 
     def factory(options):
-        def generate(messages):
+        def answer(messages):
             said = [m["content"] for m in messages if m["role"] == "user"]
             response = said[-1] if said else ""
             return response, len(response) / 1000, len(response.split())
 
+        def generate(conversations):
+            return [answer(messages) for messages in conversations]
+
         return generate
 
     return factory
@@ -86,14 +89,10 @@ FROM pairs JOIN prompts ON pairs.conv_id = prompts.conv_id GROUP BY prompt_turns
 )
 def expected_answer_coherence(spark, sf_dir):
     """How coherent the expected answers are, by the length of their prompt."""
-    turns = inputs.turns(spark, sf_dir)
-    pairs = tn.eval_pairs(turns)
-    prompts = tn.prompt_turns(turns, tn.answer_turns(turns))
-    sizes = prompts.groupBy("conv_id").agg(F.count(F.lit(1)).alias("prompt_turns"))
+    pairs = tn.eval_pairs_sized(inputs.turns(spark, sf_dir))
     expected = F.col("expected_response")
     return (
-        pairs.join(sizes, "conv_id")
-        .select(
+        pairs.select(
             "prompt_turns",
             sc.coherence_score(expected).alias("coherence"),
             F.length(expected).alias("chars"),
@@ -218,6 +217,19 @@ def evaluate_on_dataset(spark, sf_dir):
     return details.drop("prompt_messages")
 
 
+@query(
+    "evaluate_on_dataset_metrics",
+    f"""WITH {sql.PAIRS}, responses AS (
+  SELECT {sql.ECHO.format(prompt="prompt")} AS response FROM pairs), {_ECHOED},
+timings AS (SELECT generation_time, tokens_generated, {_SPEED} FROM echoed) {METRICS_SQL}""",
+)
+def evaluate_on_dataset_metrics(spark, sf_dir):
+    chat = inputs.chat(spark, sf_dir)
+    return rounded(
+        ev.evaluate_quick(chat, "doc_id", echo_factory(), scratch_path(spark, "details"), None)
+    )
+
+
 @query(
     "evaluate_conversations",
     f"""WITH {_WITH_IDS}, responses AS (SELECT conversation_id,
@@ -421,19 +433,14 @@ FROM documents LEFT JOIN labels ON documents.doc_id = labels.doc_id GROUP BY lan
 )
 def ensemble_results(spark, sf_dir):
     """Languages as models, judged by coherence, by quality label and by toxicity label."""
-    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    labels = inputs.table(spark, sf_dir, "labels")
-    labelled = docs.drop("text").join(labels, "doc_id")
-    by_method = [
-        docs.select("lang", sc.coherence_score(F.col("text")).alias("score"),
-                    F.lit("custom").alias("method")),
-        labelled.select("lang", F.col("quality").cast("double").alias("score"),
-                        F.lit("official").alias("method")),
-        labelled.select("lang", (1.0 - F.col("toxic")).alias("score"),
-                        F.lit("human").alias("method")),
-    ]
-    one_each = by_method[0].unionByName(by_method[1]).unionByName(by_method[2])
-    scores = one_each.groupBy(F.col("lang").alias("model"), "method").agg(
-        F.avg("score").alias("score")
+    docs = inputs.table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", sc.coherence_score(F.col("text")).alias("custom")
+    )
+    judged = docs.join(inputs.table(spark, sf_dir, "labels"), "doc_id", "left")
+    means = judged.groupBy(F.col("lang").alias("model")).agg(
+        F.avg("custom").alias("custom"),
+        F.avg("quality").alias("official"),
+        F.avg(1 - F.col("toxic")).alias("human"),
     )
+    scores = means.unpivot("model", ["custom", "official", "human"], "method", "score")
     return rounded(ev.ensemble_results(scores, ["custom", "official", "human"]))

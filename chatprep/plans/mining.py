@@ -87,7 +87,7 @@ cleaned AS (SELECT doc_id, pos, {sql.clean("chunk")} AS chunk FROM chunks),
 ranked AS (SELECT doc_id, pos, chunk, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS rn
   FROM cleaned WHERE {_IS_USEFUL}),
 mined AS (SELECT doc_id, chunk, (row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1)::INTEGER
-    AS pos FROM ranked WHERE rn <= 20 AND len({sql.words("chunk")}) > 10)"""
+    AS pos FROM ranked WHERE len({sql.words("chunk")}) > 10)"""
 _EXAMPLE = "[" + ", ".join(
     (
         sql.message("system", sql.text(ex.DOCUMENTATION_PROMPT)),

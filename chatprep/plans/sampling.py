@@ -14,8 +14,8 @@ _SPLIT = f"""split AS (
       <= floor(count(*) OVER () * (1::DOUBLE - 0.15::DOUBLE))
     THEN 'train' ELSE 'validation' END AS split FROM documents)"""
 
-#: Shares of each source; sources that are not named are left out.
-WEIGHTS = {"src0": 0.7, "src1": 0.3, "src2": 1.0, "src3": 0.0, "src4": 0.15, "src5": 0.5}
+#: Shares of each source.
+WEIGHTS = {f"src{i}": share for i, share in enumerate((0.7, 0.3, 1.0, 0.0, 0.15) * 4)}
 
 
 @query("split_dataset", f"WITH {_SPLIT} SELECT doc_id, split FROM split")
@@ -67,6 +67,22 @@ def mix_datasets(spark, sf_dir):
     return sm.mix_sources(docs, WEIGHTS, ["doc_id"]).select("source", "doc_id")
 
 
+@query(
+    "mix_datasets_separate",
+    f"""SELECT kind AS source, doc_id FROM (
+  SELECT kind, doc_id, row_number() OVER (PARTITION BY kind {_ORDER}) AS rn,
+    count(*) OVER (PARTITION BY kind) AS n
+  FROM (SELECT doc_id, CASE WHEN lang = 'en' THEN 'english' ELSE 'other' END AS kind FROM documents))
+WHERE rn <= floor(n * CASE kind WHEN 'english' THEN 0.25::DOUBLE ELSE 0.75::DOUBLE END)""",
+)
+def mix_datasets_separate(spark, sf_dir):
+    """English documents and all others as two data sets of their own."""
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    parts = {"english": docs.where(english), "other": docs.where(~english)}
+    return sm.mix_datasets(parts, (0.25, 0.75), ["doc_id"]).select("source", "doc_id")
+
+
 @query(
     "head_limit",
     "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 50",

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chatprep.functions import chat as ch
+from chatprep.functions.text import strip
 from chatprep.operators import evaluate as ev
+from chatprep.operators import sample
 from chatprep.plans import evaluation, inputs, sql
 from chatprep.plans.registry import query
 from chatprep.schema import MESSAGES
@@ -16,6 +18,10 @@ _RENDERED = f"WITH {sql.CHAT} SELECT doc_id, {sql.render('messages')} AS text FR
 _CHAT_ROW = f"doc_id bigint, messages {MESSAGES.simpleString()}"
 
 
+def _cell(column):
+    return F.nullif(F.col(column), F.lit(""))
+
+
 def _rendered(df):
     return df.select("doc_id", ch.render_chat(F.col("messages")).alias("text"))
 
@@ -51,11 +57,19 @@ def read_csv(spark, sf_dir):
     return files.read_csv(spark, path)
 
 
+#: Files of JSON values, one value each: so few that the driver can list them at any size.
+JSON_FILES = 16
+
+
 def _write_json_arrays(spark, sf_dir, path, as_columns):
-    """One file per 100 documents: an array of their records, or their columns."""
+    """A fixed number of files: an array of documents, or their columns, in each.
+
+    One value per file is what this format asks for, so a file is one row here; tables that do not
+    fit such rows are what JSON lines are for.
+    """
     docs = inputs.table(spark, sf_dir, "documents")
     record = F.struct("doc_id", "lang", "text")
-    grouped = docs.groupBy(F.expr("doc_id div 100").alias("part")).agg(
+    grouped = docs.groupBy(F.expr(f"doc_id % {JSON_FILES}").alias("part")).agg(
         F.array_sort(F.collect_list(record)).alias("rows")
     )
     columns = F.struct(*[F.col(f"rows.{c}").alias(c) for c in ("doc_id", "lang", "text")])
@@ -104,16 +118,84 @@ def load_data(spark, sf_dir):
     rows = inputs.alpaca(spark, sf_dir)
     rows.write.option("header", True).option("escape", '"').csv(f"{base}/table.csv")
     _write_json_arrays(spark, sf_dir, f"{base}/arrays.json", as_columns=False)
-    chat = _rendered(files.load_data(spark, f"{base}/chat.jsonl"))
+    chat = _rendered(files.load_data(spark, f"{base}/chat.jsonl", _CHAT_ROW))
     table = files.load_data(spark, f"{base}/table.csv").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("instruction").alias("text")
     )
-    arrays = files.load_data(spark, f"{base}/arrays.json").select("doc_id", "text")
+    schema = "doc_id bigint, lang string, text string"
+    arrays = files.load_data(spark, f"{base}/arrays.json", schema).select("doc_id", "text")
     kinds = {"chat": chat, "table": table, "arrays": arrays}
     parts = [df.select(F.lit(kind).alias("kind"), "doc_id", "text") for kind, df in kinds.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query(
+    "write_split",
+    """SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY md5(doc_id::VARCHAR || ':42'), doc_id)
+    <= floor(count(*) OVER () * (1::DOUBLE - 0.15::DOUBLE))
+  THEN 'train' ELSE 'validation' END AS split FROM documents""",
+)
+def write_split(spark, sf_dir):
+    base = scratch_path(spark, "parts")
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "text")
+    split = sample.split_dataset(docs, ["doc_id"], val_ratio=0.15)
+    paths = {"train": f"{base}/train.jsonl", "validation": f"{base}/validation.jsonl"}
+    files.write_split(split, *paths.values())
+    read = [
+        files.read_jsonl(spark, path, "doc_id bigint, text string").select(
+            "doc_id", F.lit(name).alias("split")
+        )
+        for name, path in paths.items()
+    ]
+    return read[0].unionByName(read[1])
+
+
+@query(
+    "csv_to_jsonl",
+    f"""WITH {sql.ALPACA}
+SELECT doc_id, {sql.strip("coalesce(nullif(instruction, ''), 'nan')")} AS said,
+  {sql.strip("coalesce(nullif(output, ''), 'nan')")} AS answered FROM alpaca""",
+)
+def csv_to_jsonl(spark, sf_dir):
+    """Questions carry their document's number in front, since a chat has no place for it."""
+    base = scratch_path(spark, "qa")
+    number = F.concat(F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit("\n"))
+    rows = inputs.alpaca(spark, sf_dir).select(
+        F.concat(number, F.coalesce(_cell("instruction"), F.lit("nan"))).alias("user_prompt"),
+        _cell("output").alias("agent_reply"),
+    )
+    rows.write.option("header", True).option("escape", '"').csv(f"{base}/qa.csv")
+    files.csv_to_jsonl(spark, f"{base}/qa.csv", f"{base}/qa.jsonl")
+    said = F.get("messages", F.lit(1))["content"]
+    return files.read_chat(spark, f"{base}/qa.jsonl").select(
+        F.substring(said, 1, 12).cast("bigint").alias("doc_id"),
+        strip(F.substr(said, F.lit(14))).alias("said"),
+        F.get("messages", F.lit(2))["content"].alias("answered"),
+    )
+
+
+@query(
+    "alpaca_to_jsonl",
+    f"""WITH {sql.ALPACA} SELECT doc_id, coalesce(output, '') AS answered FROM alpaca""",
+)
+def alpaca_to_jsonl(spark, sf_dir):
+    """As above, with the number in front of the instruction."""
+    base = scratch_path(spark, "instructions")
+    number = F.concat(F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit("\n"))
+    rows = inputs.alpaca(spark, sf_dir).select(
+        F.concat(number, F.coalesce("instruction", F.lit(""))).alias("instruction"),
+        "input",
+        "output",
+    )
+    files.write_jsonl(rows, f"{base}/in.jsonl")
+    files.alpaca_to_jsonl(spark, f"{base}/in.jsonl", f"{base}/out.jsonl")
+    said = F.get("messages", F.lit(1))["content"]
+    return files.read_chat(spark, f"{base}/out.jsonl").select(
+        F.substring(said, 1, 12).cast("bigint").alias("doc_id"),
+        F.get("messages", F.lit(2))["content"].alias("answered"),
+    )
+
+
 @query("load_named_dataset", "SELECT item_id, text FROM benchmark")
 def load_named_dataset(spark, sf_dir):
     mirrors = {"benchmark-items": sf_dir}

@@ -70,6 +70,38 @@ def log_text(spark, sf_dir):
     return rn.log_text(inputs.log_entries(spark, sf_dir))
 
 
+@query(
+    "log_text_table",
+    """WITH ends AS (SELECT user_id::VARCHAR AS run, event_type AS experiment,
+  min(event_id) AS a, max(event_id) AS z FROM events GROUP BY ALL)
+SELECT 'shop' AS project, experiment, run, 'training_log' AS key,
+  unnest(['Training started at step ' || a, 'Training completed at step ' || z]) AS text
+FROM ends
+UNION ALL SELECT DISTINCT 'shop', event_type, user_id::VARCHAR, 'status', 'archived' FROM events""",
+)
+def log_text_table(spark, sf_dir):
+    """Notes appended to a table in two goes and read back."""
+    path = scratch_path(spark, "notes")
+    notes = rn.log_text(inputs.log_entries(spark, sf_dir))
+    files.append_notes(notes, path)
+    runs = notes.select(*rn.RUN_ID).distinct()
+    archived = runs.withColumns({"key": F.lit("status"), "text": F.lit("archived")})
+    files.append_notes(archived, path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "closing_entries",
+    f"""WITH {sql.RUN_LOG}, ends AS (SELECT run, max(step) AS step,
+    date_diff('microsecond', min(ts), max(ts)) / 60000000::DOUBLE AS minutes
+  FROM run_log GROUP BY run)
+SELECT run, step, unnest(['total_training_time_minutes', 'final_global_step']) AS key,
+  unnest([minutes, step::DOUBLE]) AS value FROM ends""",
+)
+def closing_entries(spark, sf_dir):
+    return rn.closing_entries(inputs.run_log(spark, sf_dir), ["run"])
+
+
 @query(
     "flatten_hparams",
     """SELECT p_partkey, p_size::VARCHAR AS size, p_retailprice::VARCHAR AS price, p_name AS name,

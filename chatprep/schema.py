@@ -10,12 +10,6 @@ MESSAGE = T.StructType(
 MESSAGES = T.ArrayType(MESSAGE)
 
 CHAT = T.StructType([T.StructField("messages", MESSAGES)])
-CHAT_WITH_METADATA = T.StructType(
-    [
-        T.StructField("messages", MESSAGES),
-        T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
-    ]
-)
 ALPACA = T.StructType(
     [
         T.StructField("instruction", T.StringType()),
@@ -23,9 +17,6 @@ ALPACA = T.StructType(
         T.StructField("output", T.StringType()),
     ]
 )
-WORD_PROBLEM = T.StructType(
-    [T.StructField("question", T.StringType()), T.StructField("answer", T.StringType())]
-)
 GENERATION = T.StructType(
     [
         T.StructField("response", T.StringType()),

@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType, StructType
 from chatprep.functions.chat import alpaca_to_chat, qa_to_chat
 from chatprep.functions.text import WHITESPACE
 from chatprep.schema import ALPACA, CHAT
+from chatprep.sources.scratch import scratch_path
 
 # Cells that common CSV tools take as missing.
 NA_VALUES = (
@@ -43,7 +44,8 @@ NA_VALUES = (
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """One JSON object per line; a line that is not JSON is an error."""
+    """One JSON object per line; a line that is not JSON is an error. Blank lines are no records and
+    are skipped, as Spark's reader does; ``validate_chat`` reports them."""
     reader = spark.read.option("mode", "FAILFAST")
     return (reader.schema(schema) if schema else reader).json(path)
 
@@ -61,8 +63,10 @@ def read_csv(
     na_values: Sequence[str] = NA_VALUES,
 ) -> DataFrame:
     """CSV with a header line; all columns are text unless a schema is given, and cells that read
-    like a missing value are null. Files whose cells hold no line breaks can be read in parallel
-    pieces with ``multi_line=False``."""
+    like a missing value are null.
+
+    Cells may hold line breaks, so a file is read by one task whatever its size. Files whose cells
+    hold none are read in parallel pieces with ``multi_line=False``."""
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     df = (reader.schema(schema) if schema else reader).csv(path)
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
@@ -71,20 +75,34 @@ def read_csv(
 
 
 def _first_characters(spark: SparkSession, path: str) -> DataFrame:
-    """The first non-blank character of each file."""
+    """``(file, c)``: the first non-blank character of each file that has one.
+
+    Files are read by lines, of which only the first character and its place leave the scan, and one
+    row per file is kept; no file is loaded whole.
+    """
     start = F.ltrim("value", F.lit(WHITESPACE + "\ufeff"))
-    return spark.read.text(path, wholetext=True).select(F.substring(start, 1, 1).alias("c"))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        F.substring(start, 1, 1).alias("c"),
+    )
+    # A block of a file is read by one task, line after line.
+    place = F.struct("block", "line")
+    return lines.where("c <> ''").groupBy("file").agg(F.min_by("c", place).alias("c"))
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Files that hold one JSON value each: an array of objects, or an object of equally long
-    arrays, one per column. All files of a path have the form of its first one."""
-    head = _first_characters(spark, path).first()
-    if head is None or head.c not in ("[", "{"):
+    arrays, one per column. All files of a path must have one form."""
+    forms = {r.c for r in _first_characters(spark, path).select("c").distinct().collect()}
+    if not forms or not forms <= {"[", "{"}:
         raise ValueError(f"neither an array of records nor an object of columns: {path}")
+    if len(forms) > 1:
+        raise ValueError(f"some files hold records, others columns: {path}")
     reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     df = (reader.schema(schema) if schema else reader).json(path)
-    return columns_to_rows(df) if head.c == "{" else df
+    return columns_to_rows(df) if forms == {"{"} else df
 
 
 def columns_to_rows(df: DataFrame) -> DataFrame:
@@ -105,7 +123,8 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType | None =
 
 
 def load_data(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Choose the reader by suffix."""
+    """Choose the reader by suffix. With a schema (``chatprep.schema`` has those of the known
+    formats) JSON is read once; without one Spark reads it a first time to infer it."""
     readers = {".jsonl": read_jsonl, ".csv": read_csv, ".json": read_json}
     suffix = PurePosixPath(path).suffix
     try:
@@ -165,9 +184,15 @@ def alpaca_to_jsonl(spark: SparkSession, input_path: str, output_path: str, **op
 
 
 def write_split(split: DataFrame, train_path: str, val_path: str) -> None:
-    """The two parts of a split data set as JSON lines."""
+    """The two parts of a split data set as JSON lines.
+
+    The split, which costs several scans, is worked out once and stored; the parts are written from
+    there."""
+    stored = scratch_path(split.sparkSession, "split")
+    split.write.partitionBy("split").parquet(stored)
+    parts = split.sparkSession.read.schema(split.schema).parquet(stored)
     for name, path in (("train", train_path), ("validation", val_path)):
-        write_jsonl(split.where(F.col("split") == name).drop("split"), path)
+        write_jsonl(parts.where(F.col("split") == name).drop("split"), path)
 
 
 def write_eval_report(
@@ -191,6 +216,11 @@ def read_eval_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     return spark.read.parquet(f"{path}/details"), spark.read.json(f"{path}/metrics")
 
 
+def append_notes(notes: DataFrame, path: str) -> None:
+    """Append notes of runs, rows ``(*run, key, text)``, to the notes table."""
+    notes.write.mode("append").parquet(path)
+
+
 def write_run_stats(stats: DataFrame, path: str) -> None:
     """Append the rows of finished runs, configuration and statistics, to the runs table."""
     stats.write.mode("append").parquet(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,11 +10,9 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, the folder all executors share.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Without that setting it lies below the warehouse, which all executors share too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="chatprep-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -30,6 +30,7 @@ def read_log_stream(
 ) -> DataFrame:
     return (
         spark.readStream.schema(LOG_ENTRY)
+        .option("mode", "FAILFAST")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .json(path)
     )
