@@ -192,17 +192,18 @@ def mixed_texts(
     decisions = placed.where("size > 0").select(
         F.col("id").alias("mix_id"), F.col("size").alias("mix_size"), pieces.alias("mix_pieces")
     ).where(F.size("mix_pieces") > 0)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    words = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
     cut = F.array_join(
         F.slice(words, (F.col("piece.skip") + 1).cast("int"), F.col("piece.words").cast("int")), " "
     )
-    text = F.when(F.col("piece.words") == F.col("mix_size"), F.col("text")).otherwise(cut)
+    text = F.when(F.col("piece.words") == F.col("mix_size"), F.col("row.text")).otherwise(cut)
     out = (
-        docs.join(decisions, F.col("doc_id").eqNullSafe(F.col("mix_id")))
-        .select(*columns, "mix_size", F.explode("mix_pieces").alias("piece"))
-        .withColumn("text", text)
+        rows.join(decisions, F.col("row.doc_id").eqNullSafe(F.col("mix_id")))
+        .select("row", "mix_size", F.explode("mix_pieces").alias("piece"))
+        .select(F.col("row").withField("text", text).alias("row"))
     )
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+        length = F.length("row.text").cast(docs.schema["n_chars"].dataType)
+        out = out.select(F.col("row").withField("n_chars", length).alias("row"))
+    return out.select("row.*")

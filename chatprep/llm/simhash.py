@@ -72,13 +72,13 @@ def _keys(fp: Column, reach: bool) -> Column:
     With ``reach``, also the next segments with one more bit set. Of two segments that differ in one
     bit, the one without it reaches the other.
     """
-    rows = []
-    for i in range(SEGMENTS):
+    def of(i: int) -> Column:
         own = F.shiftleft(_segment(fp, i), BITS) + F.lit(i << (2 * BITS)).cast("long")
         after = _segment(fp, i + 1)
         bits = [after.bitwiseOR(F.lit(1 << b).cast("long")) for b in range(BITS)] if reach else []
-        rows.append(F.transform(F.array_distinct(F.array(after, *bits)), lambda x, own=own: own + x))
-    return F.explode(F.concat(*rows))
+        return F.transform(F.array_distinct(F.array(after, *bits)), lambda x: own + x)
+
+    return F.explode(F.concat(*map(of, range(SEGMENTS))))
 
 
 def _run_mask(i: int, length: int) -> int:
@@ -103,9 +103,10 @@ def _within_budgets(key: Column, left: Column, right: Column) -> Column:
 def _tile_links(rows: pd.DataFrame) -> pd.DataFrame:
     """Links that connect the tile's fingerprints as all its close pairs would: stars, not pairs."""
     fps = np.unique(rows["fp"].to_numpy())
+    bits = fps.view(np.uint64)  # bits of negative numbers are not counted as they are
     close = np.empty((len(fps), len(fps)), dtype=bool)
     for at in range(0, len(fps), 256):
-        close[at : at + 256] = np.bitwise_count(fps[at : at + 256, None] ^ fps[None, :]) <= DISTANCE
+        close[at : at + 256] = np.bitwise_count(bits[at : at + 256, None] ^ bits[None, :]) <= DISTANCE
     label = np.arange(len(fps))
     while True:
         lowest = np.array([label[row].min() for row in close], dtype=label.dtype)
