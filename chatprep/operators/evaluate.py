@@ -285,7 +285,7 @@ def ensemble_results(
     """One row per model with a column per method. ``(model, method)`` is unique: two scores of one
     pair are an error, null ones aside."""
     several = F.raise_error(
-        F.concat_ws(" ", F.lit("several scores of"), F.first(model), F.first(method))
+        F.concat_ws(" ", F.lit("several scores of"), F.col(model), F.col(method))
     ).cast("double")
     one = F.when(F.count(score) > 1, several).otherwise(F.max(score)).alias(score)
     scores = scores.groupBy(model, method).agg(one)

@@ -12,14 +12,16 @@ LEVELS = 2
 
 
 def _offsets(sums: DataFrame, levels: int) -> DataFrame:
-    """``(_range, _offset)``: the sum of all ranges before each one."""
+    """``(_range, _offset)``: the sum of all ranges before each one, by their first ids."""
     own = F.sum("_sum").over(
-        (Window.partitionBy("_wide") if levels else Window.partitionBy()).orderBy("_range")
+        (Window.partitionBy("_wide") if levels else Window.partitionBy()).orderBy("_first")
     ) - F.col("_sum")
     if not levels:
         return sums.select("_range", own.alias("_offset"))
     wide = sums.withColumn("_wide", F.expr(f"_range div {RANGES}"))
-    wider = wide.groupBy(F.col("_wide").alias("_range")).agg(F.sum("_sum").alias("_sum"))
+    wider = wide.groupBy(F.col("_wide").alias("_range")).agg(
+        F.sum("_sum").alias("_sum"), F.min("_first").alias("_first")
+    )
     before = _offsets(wider, levels - 1).select(
         F.col("_range").alias("_wide"), F.col("_offset").alias("_before")
     )
@@ -38,9 +40,9 @@ def running_total(df: DataFrame, row_id: str, value: str, width: int = 1 << 16)
     ``RANGES`` sums, however sparse the ids are. The rows have one exchange, by range.
     """
     ranged = df.withColumn("_range", F.expr(f"`{row_id}` div {width}")).repartition("_range")
-    # With the first id, so that both uses of the exchange read the same columns.
+    # Ordered by first id, so that all uses of the exchange read the same columns.
     sums = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"), F.min(row_id).alias("_first"))
-    offsets = _offsets(sums.select("_range", "_sum"), LEVELS)
+    offsets = _offsets(sums, LEVELS)
     inside = Window.partitionBy("_range").orderBy(row_id).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

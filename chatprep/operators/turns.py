@@ -100,50 +100,41 @@ def answer_turns(turns: DataFrame) -> DataFrame:
     )
 
 
+def _answers(turns: DataFrame) -> DataFrame:
+    return turns.where(_assistant() & (F.length("content") > 0)).select(
+        "conv_id",
+        F.col("turn").alias("answer_turn"),
+        F.col("content").alias("expected_response"),
+    )
+
+
 def eval_pairs(turns: DataFrame) -> DataFrame:
     """``(conv_id, first_turn, answer_turn, expected_response)`` of conversations that have one.
 
     The prompt is the turns from ``first_turn`` up to, but without, ``answer_turn``.
     """
-    said = turns.where(_assistant() & (F.length("content") > 0)).select(
-        "conv_id",
-        F.col("turn").alias("answer_turn"),
-        F.col("content").alias("expected_response"),
-    )
-    return null_safe_join(answer_turns(turns), said, ["conv_id", "answer_turn"]).select(
-        "conv_id", "first_turn", "answer_turn", "expected_response"
-    )
+    pairs = null_safe_join(answer_turns(turns), _answers(turns), ["conv_id", "answer_turn"])
+    return pairs.select("conv_id", "first_turn", "answer_turn", "expected_response")
 
 
 def eval_pairs_sized(turns: DataFrame) -> DataFrame:
     """``eval_pairs`` with ``prompt_turns``, the number of turns of the prompt.
 
-    The prompts are counted where the answers are looked for: a prompt holds all turns from its
-    first one up to the answer, so it is enough to count those within each conversation's bounds.
+    Answers are looked for once; the prompts are counted from there, in numbers alone, and the
+    expected responses are fetched last.
     """
-    found = answer_turns(turns)
-    bounds = found.select(
-        "conv_id", F.col("first_turn").alias("first"), F.col("answer_turn").alias("last")
-    )
-    # Only the answer's own row carries its text.
-    is_answer = F.col("turn") == F.col("last")
-    within = _with_bounds(turns, bounds).select(
+    bounds = answer_turns(turns).select(
         "conv_id",
-        "first",
-        "last",
-        F.when(is_answer, F.col("content")).alias("said"),
-        F.when(is_answer, 0).otherwise(1).alias("asks"),
-    )
-    sized = within.groupBy("conv_id", "first", "last").agg(
-        F.max("said").alias("expected_response"), F.sum("asks").alias("prompt_turns")
+        F.col("first_turn").alias("first"),
+        (F.col("answer_turn") - 1).alias("last"),
+        "answer_turn",
     )
-    return sized.where(F.length("expected_response") > 0).select(
-        "conv_id",
-        F.col("first").alias("first_turn"),
-        F.col("last").alias("answer_turn"),
-        "expected_response",
-        "prompt_turns",
+    sized = (
+        _with_bounds(turns.select("conv_id", "turn"), bounds)
+        .groupBy("conv_id", F.col("first").alias("first_turn"), "answer_turn")
+        .agg(F.count(F.lit(1)).alias("prompt_turns"))
     )
+    return null_safe_join(sized, _answers(turns), ["conv_id", "answer_turn"])
 
 
 def prompt_turns(turns: DataFrame, pairs: DataFrame) -> DataFrame:
