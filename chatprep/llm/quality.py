@@ -138,7 +138,9 @@ def shortened(chunks: np.ndarray, rng: np.random.Generator) -> np.ndarray:
 def fit(
     documents: list[tuple[np.ndarray, int]], share: float, epochs: int = EPOCHS, seed: int = 7
 ) -> ByteNetwork:
-    """A network fitted by Adam to ``(chunks, label)`` pairs, each also seen as a short text.
+    """A network fitted by Adam to ``(chunks, label)`` pairs.
+
+    Those of label 1 are also seen as short texts: few bytes are no evidence against a text.
 
     ``share`` is that of label 1 among all labels; the classes are weighted to it, so that scores
     are probabilities whatever sample was drawn.
@@ -147,7 +149,7 @@ def fit(
     if not documents:
         return network
     draw = np.random.default_rng(seed)
-    documents = documents + [(shortened(chunks, draw), label) for chunks, label in documents]
+    documents = documents + [(shortened(c, draw), label) for c, label in documents if label == 1]
     labels = np.array([label for _, label in documents], dtype=np.float32)
     drawn = np.clip(np.array([np.mean(labels == 0), np.mean(labels == 1)]), 1e-6, None)
     wanted = np.array([1 - share, share])
