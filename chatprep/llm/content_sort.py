@@ -9,6 +9,8 @@ from chatprep.llm.common import SPACE, shuffle_partitions, stored, text_of
 
 #: A text with more rows than this share of an even partition is spread over several cells.
 CELL_SHARE = 0.25
+#: Characters of a text that a splitter has.
+HEAD = 32
 
 
 def normalised(text: Column) -> Column:
@@ -19,8 +21,10 @@ def normalised(text: Column) -> Column:
 def _sorted_cells(docs: DataFrame, id_column: str, text_column: str, carry: bool) -> DataFrame:
     """Each row with what its text's group says: ``keep_id``, ``group_size`` and ``kept``.
 
-    Splitters sampled by Spark range-partition the normalised bytes, each partition is sorted
-    externally, and the window compares every row's full bytes with its neighbour's. A text that
+    Splitters sampled by Spark range-partition the normalised bytes: their first ``HEAD`` characters
+    and, among texts that share those, a hash, so that samples and splitters stay small whatever
+    the texts' lengths. Each partition is sorted externally by all bytes, and the window compares
+    every row's full bytes with its neighbour's. A text that
     has many rows would fill a partition: it is cut into cells by a hash of the identifier, each
     cell is sorted like a text of its own, and the cells' common result comes from a map-side
     aggregate. At most ``partitions / CELL_SHARE`` texts can be that frequent, which bounds what
@@ -56,12 +60,13 @@ def _sorted_cells(docs: DataFrame, id_column: str, text_column: str, carry: bool
     )
 
     cell = F.when(F.col("cells").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("cells")))
-    within = Window.partitionBy("norm", "cell")
+    within = Window.partitionBy("head", "hash", "cell", "norm")
     order = within.orderBy(F.desc("points"), F.asc_nulls_last("id"))
     cells = (
         rows.join(frequent, "hash", "left")
         .withColumn("cell", cell)
-        .repartitionByRange("norm", "cell")
+        .withColumn("head", F.substring("norm", 1, HEAD))
+        .repartitionByRange("head", "hash", "cell")
         .select(
             "*",
             F.row_number().over(order).alias("place"),
@@ -69,7 +74,7 @@ def _sorted_cells(docs: DataFrame, id_column: str, text_column: str, carry: bool
             F.count(F.lit(1)).over(within).alias("cell_size"),
         )
         .withColumn("text_sha256", digest)
-        .drop("norm", "hash")
+        .drop("norm", "head", "hash")
     )
     merged = cells.join(F.broadcast(groups), "text_sha256", "left")
     spread = F.col("winner").isNotNull()
