@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import tempfile
 
 import numpy as np
@@ -215,7 +216,10 @@ def repeated_windows(content: np.ndarray, starts: np.ndarray, ends: np.ndarray,
         at += size + 1
     if not len(starts):
         return np.empty(0, dtype=bool)
-    with tempfile.TemporaryDirectory() as folder:
+    # The queues' files are this task's own spill: below the folder that Spark gives its workers for
+    # that, read by no other task, and gone at the end.
+    spill = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None
+    with tempfile.TemporaryDirectory(dir=spill) as folder:
         order, shared = induced.suffix_order(text, folder)
     same = shared >= window
     repeated = np.zeros(len(text), dtype=bool)
