@@ -24,7 +24,8 @@ import numpy as np
 IN_MEMORY = 1 << 24
 #: Entries of a queue that are held in memory.
 QUEUED = 1 << 22
-#: A common prefix is followed so far; suffixes that agree so far may come in any order.
+#: A common prefix is followed so far, unless another depth is asked for; suffixes that agree so far
+#: may come in any order.
 DEPTH = 400
 
 #: Files that a queue is spread over.
@@ -137,13 +138,13 @@ def _names(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
     return place
 
 
-def _doubled(place: np.ndarray, lms: np.ndarray) -> np.ndarray:
-    """Ranks of the suffixes of the string of names, in memory, by doubling up to ``DEPTH``."""
+def _doubled(place: np.ndarray, lms: np.ndarray, depth: int) -> np.ndarray:
+    """Ranks of the suffixes of the string of names, in memory, by doubling up to ``depth``."""
     step, end = 1, len(place)
     while True:
         group = _tied(place)
         reach = lms[np.minimum(group + step, end - 1)] - lms[group]
-        group = group[(reach < DEPTH) & (group + step < end)]
+        group = group[(reach < depth) & (group + step < end)]
         if not len(group):
             return place
         # A whole group is refined, so that its subgroups' places are right.
@@ -155,8 +156,8 @@ def _doubled(place: np.ndarray, lms: np.ndarray) -> np.ndarray:
         step *= 2
 
 
-def _common(text: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The lengths of common prefixes of pairs of suffixes, up to ``DEPTH``."""
+def _common(text: np.ndarray, left: np.ndarray, right: np.ndarray, depth: int) -> np.ndarray:
+    """The lengths of common prefixes of pairs of suffixes, up to ``depth``."""
     found = np.zeros(len(left), dtype=np.int32)
     active = np.arange(len(left))
     last = len(text) - 1
@@ -173,22 +174,22 @@ def _common(text: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray
         same = inside & (packed[np.minimum(a, len(packed) - 1)] == packed[np.minimum(b, len(packed) - 1)])
         active = active[same]
         found[active] += 4
-        active = active[found[active] < DEPTH]
-    active = np.flatnonzero(found < DEPTH)
+        active = active[found[active] < depth]
+    active = np.flatnonzero(found < depth)
     while len(active):
         a, b = left[active] + found[active], right[active] + found[active]
         same = (np.maximum(a, b) <= last) & (text[np.minimum(a, last)] == text[np.minimum(b, last)])
         active = active[same]
         found[active] += 1
-        active = active[found[active] < DEPTH]
-    return np.minimum(found, DEPTH)
+        active = active[found[active] < depth]
+    return np.minimum(found, depth)
 
 
 class _Scan:
     """One scan over the suffixes in order, that induces those to the left of them."""
 
-    def __init__(self, text, wanted, queue: SymbolQueue, symbols: int):
-        self.text, self.wanted, self.queue = text, wanted, queue
+    def __init__(self, text, wanted, queue: SymbolQueue, symbols: int, depth: int):
+        self.text, self.wanted, self.queue, self.depth = text, wanted, queue, depth
         #: The least common prefix since the last push for a symbol; -1 before the first one.
         self.least = np.full(symbols, -1, dtype=np.int32)
 
@@ -217,16 +218,21 @@ class _Scan:
                 mins, rest = mins[:-1], mins[-1]
             mins[0] = min(mins[0], first_least[s])
             self.least[s] = rest
-            self.queue.push(s, before[part], np.minimum(mins + 1, DEPTH))
+            self.queue.push(s, before[part], np.minimum(mins + 1, self.depth))
 
 
 def suffix_order(
-    text: np.ndarray, folder: str, in_memory: int = IN_MEMORY, queued: int = QUEUED, level: int = 0
+    text: np.ndarray,
+    folder: str,
+    in_memory: int = IN_MEMORY,
+    queued: int = QUEUED,
+    level: int = 0,
+    depth: int = DEPTH,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Positions of all suffixes in order, and what each shares with the one before it.
 
     ``text`` holds small unsigned numbers; its last symbol must be smaller than all others. Common
-    prefixes are followed, and orders right, up to ``DEPTH`` symbols. ``folder`` takes the queues.
+    prefixes are followed, and orders right, up to ``depth`` symbols. ``folder`` takes the queues.
     """
     small = _ascending(text)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
@@ -235,22 +241,22 @@ def suffix_order(
     if len(lms) == 0:
         # Symbols only descend: suffixes come in reverse.
         at = np.arange(len(text))[::-1].copy()
-        return at, np.concatenate([[0], _common(text, at[:-1], at[1:])]).astype(np.int32)
+        return at, np.concatenate([[0], _common(text, at[:-1], at[1:], depth)]).astype(np.int32)
 
     place = _names(text, small, lms)
     if len(_tied(place)):
         if len(place) <= in_memory:
-            place = _doubled(place, lms)
+            place = _doubled(place, lms, depth)
         else:
             names = np.unique(place, return_inverse=True)[1] + 1
             order, _ = suffix_order(
-                np.append(names, 0).astype(np.uint32), folder, in_memory, queued, level + 1
+                np.append(names, 0).astype(np.uint32), folder, in_memory, queued, level + 1, depth
             )
             place = np.empty(len(lms), dtype=np.int64)
             place[order[1:]] = np.arange(len(lms))
     sorted_lms = lms[np.argsort(place, kind="stable")]
     seed_lcp = np.zeros(len(sorted_lms), dtype=np.int32)
-    seed_lcp[1:] = _common(text, sorted_lms[:-1], sorted_lms[1:])
+    seed_lcp[1:] = _common(text, sorted_lms[:-1], sorted_lms[1:], depth)
     seed_symbol = text[sorted_lms].astype(np.int64)
     seed_edges = np.searchsorted(seed_symbol, np.arange(symbols + 1))
 
@@ -259,11 +265,11 @@ def suffix_order(
         if not len(last) or not len(first):
             return 0
         pair = np.array([last[-1], first[0]])
-        return int(min(DEPTH, _run_lengths(text, pair, ends).min()))
+        return int(min(depth, _run_lengths(text, pair, ends).min()))
 
     # Ascending scan: LMS suffixes are the seeds, L-type suffixes are induced.
     queue = SymbolQueue(folder, f"up-{level}", queued, symbols)
-    scan = _Scan(text, ~small, queue, symbols)
+    scan = _Scan(text, ~small, queue, symbols, depth)
     down_parts = SymbolQueue(folder, f"down-{level}", queued, symbols)
     for s in range(symbols):
         at, lcp = queue.pop(s)
@@ -283,7 +289,7 @@ def suffix_order(
     # Descending scan: L-type suffixes are the seeds, S-type suffixes are induced. What a suffix
     # shares is now told of the larger neighbour, which was scanned before it.
     queue = SymbolQueue(folder, f"back-{level}", queued, symbols)
-    scan = _Scan(text, small, queue, symbols)
+    scan = _Scan(text, small, queue, symbols, depth)
     found = []
     # The last symbol is the smallest suffix, of no scan.
     for s in range(symbols - 1, -1, -1):

@@ -220,7 +220,7 @@ def repeated_windows(content: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     # that, read by no other task, and gone at the end.
     spill = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None
     with tempfile.TemporaryDirectory(dir=spill) as folder:
-        order, shared = induced.suffix_order(text, folder)
+        order, shared = induced.suffix_order(text, folder, depth=window)
     same = shared >= window
     repeated = np.zeros(len(text), dtype=bool)
     repeated[order] = same | np.concatenate([same[1:], [False]])

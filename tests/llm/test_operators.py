@@ -106,6 +106,15 @@ def test_repeated_strings(spark, copied_docs):
         assert sum(s.end - s.start for s in got[doc].spans) == size - len(kept)
 
 
+@pytest.mark.parametrize("group", [1, 100])
+def test_strings_longer_than_the_default(spark, copied_docs, group):
+    passage = " ".join(t for _, t in copied_docs)[:1500]
+    docs = [(0, passage), (1, "a " + passage[:700]), (2, passage[300:] + " b " + passage[:450]), (3, "c" * 999)]
+    df = spark.createDataFrame(docs, NAMES)
+    got = {r.doc_id: bytes(r.kept) for r in suffix.remove_repeated_strings(df, window=500, group=group).collect()}
+    assert got == {doc: kept for doc, _, kept in brute.kept_bytes(docs, 500)}
+
+
 def test_long_texts_are_hashed_in_pieces(spark, copied_docs, monkeypatch):
     shard_of = lambda: suffix._Shard(
         spark.createDataFrame(copied_docs, NAMES).select(F.col("doc_id").cast("string").alias("id"), "text").toPandas(), 40
