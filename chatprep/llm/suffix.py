@@ -16,8 +16,9 @@ from chatprep.llm.common import shuffle_partitions, text_of
 from chatprep.llm.windows import BUCKETS_PER_PARTITION, _pack, _unpack
 
 WINDOW = 400
-#: A sample of a window: its least hash of so many consecutive bytes.
-GRAM = 32
+#: A sample of a window: its least hash of so many consecutive bytes, as a share of the window. Long
+#: samples stand at few places, so few windows remain; short ones are fewer.
+GRAM_SHARE = 0.5
 #: Documents of a shard, whose candidates are sorted together.
 GROUP = 512
 #: Windows that are hashed at a time.
@@ -78,6 +79,7 @@ class _Shard:
         # places in the shard.
         docs = docs.sort_values(["id", "text"], na_position="last", kind="stable")
         self.window = window
+        self.gram = max(1, int(window * GRAM_SHARE))
         self.ids = docs["id"].tolist()
         contents = [t.encode("utf-8", "replace") for t in docs["text"]]
         self.offsets = np.concatenate([[0], np.cumsum([len(c) for c in contents])]).astype(np.int64)
@@ -93,7 +95,8 @@ class _Shard:
         starts, ends, samples = [], [], []
         for offset, content in self.documents():
             for low, _, piece in _pieces(content, self.window):
-                least = _sliding(string_hashes(piece, GRAM), self.window - GRAM + 1, np.minimum)
+                grams = string_hashes(piece, self.gram)
+                least = _sliding(grams, self.window - self.gram + 1, np.minimum)
                 first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
                 starts.append(first + (offset + low))
                 ends.append(np.append(first[1:], len(least)) + (offset + low))
@@ -108,14 +111,14 @@ class _Shard:
     def samples(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct samples, and which of them stand at more than one place of the shard."""
         found = []
-        reach = self.window - GRAM + 1
+        reach = self.window - self.gram + 1
         for offset, content in self.documents():
-            for low in range(0, len(content) - GRAM + 1, PIECE):
+            for low in range(0, len(content) - self.gram + 1, PIECE):
                 # A place is a sample's if some window around it has that least hash.
                 before, after = max(0, low - reach + 1), min(low + PIECE + self.window, len(content))
-                grams = string_hashes(content[before:after], GRAM)
+                grams = string_hashes(content[before:after], self.gram)
                 if len(grams) < reach:
-                    grams = string_hashes(content[max(0, after - self.window) : after], GRAM)
+                    grams = string_hashes(content[max(0, after - self.window) : after], self.gram)
                     before = max(0, after - self.window)
                 least = _sliding(grams, reach, np.minimum)
                 padded = np.concatenate([np.zeros(reach - 1, np.uint64), least, np.zeros(reach - 1, np.uint64)])
@@ -297,8 +300,8 @@ def remove_repeated_strings(
     exclusive), ``kept`` the other bytes.
 
     Documents are dealt into shards of about ``group``. A window's sample, the least hash of the
-    ``GRAM``-byte strings in it, is the same for equal windows, so windows whose sample stands at one
-    place of all tables only are done. The remaining ones of a shard are sorted by external induced
+    half as long strings in it, is the same for equal windows, so windows whose sample stands at one
+    place of all texts only are done. The remaining ones of a shard are sorted by external induced
     sorting; neighbours that share ``window`` bytes are repeats inside the shard. Of each distinct
     string a shard sends one hash to buckets of hash ranges, which answer what other shards have: so
     a passage that a third of all documents share is one entry per shard. Bytes travel once.
@@ -307,8 +310,8 @@ def remove_repeated_strings(
     is long enough in both; an empty table gives no rows. Across shards strings are compared by
     64-bit hashes: of ``n`` distinct ones, about ``n**2 / 2**65`` pairs are mistaken for equal.
     """
-    if window < GRAM:
-        raise ValueError(f"a window has at least {GRAM} bytes")
+    if window < 1:
+        raise ValueError("a window has at least one byte")
     parts = max(1, math.ceil(docs.count() / group))
     buckets = BUCKETS_PER_PARTITION * shuffle_partitions(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()

@@ -97,11 +97,12 @@ def test_induced_order(tmp_path, in_memory):
     assert not list(tmp_path.iterdir())
 
 
-def test_repeated_strings(spark, copied_docs):
+@pytest.mark.parametrize("window", [1, 7, 40])
+def test_repeated_strings(spark, copied_docs, window):
     docs = copied_docs + [(900, None), (901, ""), (902, "xy" * 90), (903, "z" * 70)]
     df = spark.createDataFrame(docs, NAMES)
-    got = {r.doc_id: r for r in suffix.remove_repeated_strings(df, window=40, group=10).collect()}
-    for doc, size, kept in brute.kept_bytes(docs, 40):
+    got = {r.doc_id: r for r in suffix.remove_repeated_strings(df, window=window, group=10).collect()}
+    for doc, size, kept in brute.kept_bytes(docs, window):
         assert (got[doc].n_bytes, bytes(got[doc].kept)) == (size, kept)
         assert sum(s.end - s.start for s in got[doc].spans) == size - len(kept)
 
@@ -119,7 +120,6 @@ def test_long_texts_are_hashed_in_pieces(spark, copied_docs, monkeypatch):
     shard_of = lambda: suffix._Shard(
         spark.createDataFrame(copied_docs, NAMES).select(F.col("doc_id").cast("string").alias("id"), "text").toPandas(), 40
     )
-    monkeypatch.setattr(suffix, "GRAM", 16)
     whole = shard_of()
     runs, samples = whole.runs(), whole.samples()
     monkeypatch.setattr(suffix, "PIECE", 30)
