@@ -97,6 +97,19 @@ def test_medians(spark, n):
         assert got[name].n == n and got[name].hi == max(values)
 
 
+def test_medians_of_heavy_tails(spark):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 1000 == 0, F.pow(F.lit(10.0), F.col("id") / 200))
+        .otherwise(F.rand(3))
+        .alias("tailed"),
+        F.pmod(F.xxhash64("id"), F.lit(50_000)).cast("double").alias("many"),
+    )
+    df = spark.createDataFrame(rows.collect(), rows.schema).repartition(5)
+    got = {r.metric: r["median"] for r in ranks.summarize(df, ["tailed", "many"]).collect()}
+    values = df.collect()
+    assert got == {c: statistics.median(r[c] for r in values) for c in ("tailed", "many")}
+
+
 def test_medians_skip_nulls(spark):
     df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "a double, b double")
     assert [(r.metric, r.n, r["median"]) for r in ranks.summarize(df, ["a", "b"]).collect()] == [
