@@ -82,15 +82,21 @@ def _overlap(start: Column, end: Column, low: Column, high: Column) -> Column:
     return F.greatest(F.least(end, high) - F.greatest(start, low), F.lit(0))
 
 
-def _placed(docs: DataFrame, weights, repeats, block, shard, seed, columns) -> DataFrame:
-    sizes = stored(
+def _sizes(docs: DataFrame, columns: Sequence[str], *more: Column) -> DataFrame:
+    text = text_of(F.col(columns[2]))
+    return stored(
         docs.select(
             F.col(columns[0]).alias("id"),
             F.col(columns[1]).alias("source"),
-            F.regexp_count(text_of(F.col(columns[2])), F.lit(WORD)).cast("long").alias("size"),
+            F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+            F.xxhash64(text).alias("digest"),
+            *more,
         ),
         "mix-sizes",
     )
+
+
+def _placed(sizes: DataFrame, weights, repeats, block, shard, seed, key: Column) -> DataFrame:
     sources = sizes.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows")
     )
@@ -100,9 +106,9 @@ def _placed(docs: DataFrame, weights, repeats, block, shard, seed, columns) -> D
     plan = plan.withColumnRenamed("source", "plan_source")
 
     shards = F.greatest(F.ceil((F.col("source_size") + F.col("rows")) / shard), F.lit(1))
-    key = seeded(seed, F.col("id"))
     cell = Window.partitionBy("source", "shard")
-    order = cell.orderBy("key", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Rows of one identifier go by their texts, so that only equal ones can change places.
+    order = cell.orderBy("key", "id", "digest").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     blocks = F.greatest(F.ceil(F.col("shard_size") / block), F.lit(1))
     goal = F.when(
         F.col("source_size") > 0, F.col("target") * F.col("shard_size") / F.col("source_size")
@@ -153,7 +159,8 @@ def mix_sources(
     Null texts have size 0, a null source is a source of its own, empty tables give no rows, and
     repeated rows count one by one. Only small columns are shuffled.
     """
-    placed = _placed(docs, weights, repeats, block, shard, seed, columns)
+    key = seeded(seed, F.col("id"))
+    placed = _placed(_sizes(docs, columns), weights, repeats, block, shard, seed, key)
     taken = F.col("passes") * F.col("size") + F.col("late") + F.col("early")
     return placed.select(
         F.col("id").alias(columns[0]), "size", "source_size", "target", taken.alias("taken")
@@ -171,10 +178,19 @@ def mixed_texts(
     """The documents that the mix takes, as often as it takes them, with the columns of ``docs``.
 
     A document taken whole keeps its text; one at the edge of a run of blocks keeps the words in
-    them, joined by one space, as a row of its own. ``n_chars``, if there, is the new length. The
-    identifier must be unique, since the decisions are joined back by it (null identifiers too).
+    them, joined by one space, as a row of its own. ``n_chars``, if there, is the new length.
+
+    The rows are stored with a number each, by which the decisions are joined back: rows with a null
+    or a repeated identifier are documents like others. Rows without an identifier are dealt by
+    their text's hash, not all to one shard as in ``mix_sources``.
     """
-    placed = _placed(docs, weights, repeats, block, shard, seed, ("doc_id", "source", "text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("mix_row"), row), "mix-rows")
+    sizes = _sizes(rows, ("row.doc_id", "row.source", "row.text"), F.col("mix_row"))
+    key = F.when(F.col("id").isNotNull(), seeded(seed, F.col("id"))).otherwise(
+        seeded(seed, F.col("id"), F.col("digest"))
+    )
+    placed = _placed(sizes, weights, repeats, block, shard, seed, key)
     whole = F.array_repeat(
         F.struct(F.lit(0).cast("long").alias("skip"), F.col("size").alias("words")),
         F.col("passes").cast("int"),
@@ -190,16 +206,15 @@ def mixed_texts(
         whole, part(F.col("low"), F.col("late")), part(F.lit(0).cast("long"), F.col("early"))
     )
     decisions = placed.where("size > 0").select(
-        F.col("id").alias("mix_id"), F.col("size").alias("mix_size"), pieces.alias("mix_pieces")
+        "mix_row", F.col("size").alias("mix_size"), pieces.alias("mix_pieces")
     ).where(F.size("mix_pieces") > 0)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     words = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
     cut = F.array_join(
         F.slice(words, (F.col("piece.skip") + 1).cast("int"), F.col("piece.words").cast("int")), " "
     )
     text = F.when(F.col("piece.words") == F.col("mix_size"), F.col("row.text")).otherwise(cut)
     out = (
-        rows.join(decisions, F.col("row.doc_id").eqNullSafe(F.col("mix_id")))
+        rows.join(decisions, "mix_row")
         .select("row", "mix_size", F.explode("mix_pieces").alias("piece"))
         .select(F.col("row").withField("text", text).alias("row"))
     )
