@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -22,10 +23,14 @@ PRINTED = ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF))
 PIECE = 1 << 18
 #: Distinct words whose encodings a task remembers.
 REMEMBERED = 400_000
+#: Characters of these words, since words can be long.
+REMEMBERED_CHARACTERS = 1 << 23
 #: Pairs of tokens of which a task remembers whether they can be neighbours.
 REMEMBERED_PAIRS = 1_000_000
 #: Characters of the texts whose new words share one trie.
 TOGETHER = 1 << 22
+#: Bytes of a word that the next words of the trie may share with it.
+SHARED = 1 << 10
 
 #: Key of the token in a node of the vocabulary's trie.
 END = -1
@@ -76,6 +81,7 @@ class TrieEncoder:
         self.follows: dict[tuple[int, int], bool] = {}
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.known_characters = 0
 
     def edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens that stand at one edge (0 left, 1 right) of ``token`` while it is merged.
@@ -125,10 +131,11 @@ class TrieEncoder:
         Words in byte order are the leaves of their trie in depth-first order: the path to the next
         word starts with what it shares with the last one, whose states are still on the stack. A
         state is the prefix's last token, where that token starts, and the vocabulary nodes of all
-        tokens that may still be growing.
+        tokens that may still be growing; the nodes are kept for the first ``SHARED`` bytes only. A
+        word's ids are read backwards at its end, so time and memory grow with its length.
         """
-        last: list[int] = [-1]
-        encoded: list[bytes] = [b""]
+        last = array("i", [-1])
+        begins = array("q", [0])
         growing: list[list[tuple[int, dict]]] = [[]]
         path = b""
         root, number, can_follow = self.root, self.number, self.can_follow
@@ -138,12 +145,13 @@ class TrieEncoder:
                 if a != b:
                     break
                 shared += 1
-            del last[shared + 1 :], encoded[shared + 1 :], growing[shared + 1 :]
+            del last[shared + 1 :], begins[shared + 1 :], growing[shared + 1 :]
+            open_before = growing[shared]
             for depth in range(shared, len(content)):
                 b = content[depth]
                 token = None
                 open_tokens = []
-                for start, node in growing[depth]:
+                for start, node in open_before:
                     node = node.get(b)
                     if node is not None:
                         open_tokens.append((start, node))
@@ -156,10 +164,17 @@ class TrieEncoder:
                 if token is None:
                     token, at = node[END], depth
                 last.append(token)
-                encoded.append(encoded[at] + number[token])
-                growing.append(open_tokens)
-            path = content
-            yield word, encoded[len(content)]
+                begins.append(at)
+                if depth < SHARED:
+                    growing.append(open_tokens)
+                open_before = open_tokens
+            path = content[:SHARED]
+            ids, at = [], len(content)
+            while at:
+                ids.append(number[last[at]])
+                at = begins[at]
+            ids.reverse()
+            yield word, b"".join(ids)
 
     def _split(self, text: str) -> Iterator[str]:
         """Pieces of a long text, cut where a word certainly ends: before a space inside text."""
@@ -181,9 +196,15 @@ class TrieEncoder:
         """Encodes the words that are not known. Those not used for a generation are forgotten."""
         known, before = self.known, self.before
         new = [w for w in words if w not in known]
-        if len(known) + len(new) > REMEMBERED:
+        characters = sum(map(len, new))
+        if (
+            len(known) + len(new) > REMEMBERED
+            or self.known_characters + characters > REMEMBERED_CHARACTERS
+        ):
             self.known, self.before = known, before = {}, known
             new = list(words)
+            self.known_characters, characters = 0, sum(map(len, new))
+        self.known_characters += characters
         for word in new:
             if word in before:
                 known[word] = before[word]
