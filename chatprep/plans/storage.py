@@ -57,19 +57,26 @@ def read_csv(spark, sf_dir):
     return files.read_csv(spark, path)
 
 
-#: Files of JSON values, one value each: so few that the driver can list them at any size.
+#: Files of JSON values, one value each, at least; more if the texts have more bytes than fit.
 JSON_FILES = 16
+JSON_FILE_BYTES = 32 << 20
 
 
 def _write_json_arrays(spark, sf_dir, path, as_columns):
-    """A fixed number of files: an array of documents, or their columns, in each.
+    """Files of about ``JSON_FILE_BYTES`` of text: an array of documents, or their columns, in each.
 
-    One value per file is what this format asks for, so a file is one row here; tables that do not
-    fit such rows are what JSON lines are for.
+    One value per file is what this format asks for, so a file is one row here, whose size must not
+    grow with the table. Any document may go to any file, so they are dealt by the rows' numbers,
+    evenly also where identifiers are null or repeated.
     """
-    docs = inputs.table(spark, sf_dir, "documents")
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    number = max(JSON_FILES, -(-size // JSON_FILE_BYTES))
+    dealt = docs.withColumn("row", F.monotonically_increasing_id()).withColumn(
+        "part", F.pmod(F.xxhash64("row"), F.lit(number))
+    )
     record = F.struct("doc_id", "lang", "text")
-    grouped = docs.groupBy(F.expr(f"doc_id % {JSON_FILES}").alias("part")).agg(
+    grouped = dealt.repartition(number, "part").groupBy("part").agg(
         F.array_sort(F.collect_list(record)).alias("rows")
     )
     columns = F.struct(*[F.col(f"rows.{c}").alias(c) for c in ("doc_id", "lang", "text")])
