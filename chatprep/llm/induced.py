@@ -10,7 +10,8 @@ the one before it in the order: one more than the least such length between the
 were induced from.
 
 The queue is one first-in-first-out run per symbol, so whole runs are induced at once in numpy. Its
-runs and the finished order are written to files beyond a bound of memory, and so is the text.
+waiting runs are written to files beyond a bound of memory. The text, the names, a run that is
+scanned and the finished order with its common prefixes are held in memory.
 """
 
 from __future__ import annotations
