@@ -5,27 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatprep.functions.binding import let
 from chatprep.llm import (
+    audit,
     bpe,
     content_sort,
     langid,
     mixing,
+    periods,
     quality,
     sharding,
     simhash,
     suffix,
+    token_files,
     topk,
     windows,
 )
+from chatprep.llm.common import SPACE
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: The id that ends a document in the token files.
+END_ID = 1
 
 
 def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -195,3 +203,109 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_simhash_components")
 def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def with_planted_runs(doc_id: Column, text: Column) -> Column:
+    """The text of a document, every tenth of which, by a hash of its id, repeats a passage of its
+    own from some word on to its end."""
+    hashed = F.crc32(doc_id.cast("string"))
+    words = F.filter(F.split(text, SPACE), lambda w: w != "")
+
+    def repeat(known: Column) -> Column:
+        words, drawn = known["words"], known["drawn"]
+        n = F.size(words).cast("long")
+        first = drawn % n
+        period = F.floor((n - first) / (drawn % 8 + 3)) + 1
+
+        def word(word: Column, i: Column) -> Column:
+            return F.when(i < first, word).otherwise(
+                F.get(words, (first + (i - first) % period).cast("int"))
+            )
+
+        return F.when(n == 0, text).otherwise(F.array_join(F.transform(words, word), " "))
+
+    known = F.struct(words.alias("words"), F.floor(hashed / 10).alias("drawn"))
+    return F.when(hashed % 10 == 0, let(known, repeat)).otherwise(text)
+
+
+@_query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    planted = docs.withColumn("text", with_planted_runs(F.col("doc_id"), F.col("text")))
+    found = periods.periodic_runs(planted)
+
+    def longer(best: Column, run: Column) -> Column:
+        # Lengths over periods, compared as whole numbers; runs come by start and period.
+        more = run["length"] * best["period"] > best["length"] * run["period"]
+        return F.when(best.isNull() | more, run).otherwise(best)
+
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    best = F.aggregate("runs", none, longer)
+    line = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@_query("op12_token_files")
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(_table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_ID)
+
+
+@_query(
+    "op13_filter_audit",
+    """
+    WITH counted AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+            regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+            length(coalesce(text, '')) AS points
+        FROM documents
+    ), marked AS (
+        SELECT c.part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+            (len(words) < 100)::INTEGER AS a,
+            (100 * len(list_distinct(words)) < 80 * len(words))::INTEGER AS b,
+            (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * points)::INTEGER AS c,
+            regexp_matches(text, '[#$%&*|]')::INTEGER AS d,
+            coalesce(c.doc_id > min(c.doc_id) OVER (PARTITION BY text), FALSE)::INTEGER AS e
+        FROM counted c LEFT JOIN (
+            SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic
+            FROM labels GROUP BY doc_id) l ON c.doc_id = l.doc_id
+    ), cells AS (
+        SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS mask, a + b + c + d + e AS fails,
+            count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+        FROM marked GROUP BY ALL
+    ), letters AS (
+        SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS l(letter, bit)
+    ), orders AS (
+        SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+            AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+    ), steps AS (
+        SELECT filter_order, step, l.bit, (SELECT coalesce(sum(e.bit), 0) FROM letters e
+            WHERE instr(o.filter_order, e.letter) < step)::BIGINT AS before
+        FROM orders o, range(1, 6) AS r(step), letters l
+        WHERE l.letter = substr(o.filter_order, step, 1)
+    )
+    SELECT part, filter_order, step::INTEGER AS step,
+        coalesce(sum(n) FILTER (mask & (bit | before) = 0), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before > 0), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost,
+        coalesce(sum(n * 120 // greatest(fails, 1)) FILTER (mask & bit > 0), 0)::BIGINT AS shapley
+    FROM cells, steps GROUP BY part, filter_order, step
+    """,
+)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
