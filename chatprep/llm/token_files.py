@@ -8,7 +8,7 @@ import re
 import unicodedata
 import zlib
 from bisect import bisect_right
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,14 +16,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from chatprep.llm.bpe import byte_symbols
 from chatprep.llm.common import shuffle_partitions, text_of
 from chatprep.sources.scratch import scratch_path
 
 #: Bytes of ids in a segment, unless one document has more, and documents in it.
 SEGMENT = 4 << 20
 DOCUMENTS = 1 << 16
-#: Pieces of text whose ids a task remembers, and the characters of such a piece.
-REMEMBERED = 500_000
+#: Pieces of text of a generation, whose ids a task remembers, and the characters of such a piece.
+REMEMBERED = 400_000
 PIECE = 64
 #: Ones of the upper bits between two stored positions.
 SAMPLE = 256
@@ -50,12 +51,31 @@ _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+class _Known(dict):
+    """Ids of pieces, worked out when first asked for. Those not used for a generation are forgotten."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode, self.before = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        if len(piece) <= PIECE:
+            if len(self) >= REMEMBERED:
+                self.before = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class IdEncoder:
     """Encodes texts with the tokenizers library, each different piece of text once.
 
     A tokenizer file of lower-cased words, split at white space, has pieces that do not depend on
-    each other. Texts of ordinary characters are split by the file's own pattern, and the library's
-    model encodes each different piece; other pieces between spaces are given to the library whole.
+    each other. Words of ordinary characters are split by the file's own pattern, and the library's
+    model encodes each different piece; other words are given to the library whole.
     With any other kind of file, the library gets each text whole.
     """
 
@@ -68,6 +88,8 @@ class IdEncoder:
         self.tokenizer.no_padding()
         file = json.loads(vocabulary)
         self.width = width
+        self.model = self.tokenizer.model
+        self.symbol = {b: c for c, b in byte_symbols().items()}
         steps = [n.get("type") for n in (file.get("normalizer") or {}).get("normalizers", [])]
         cuts = (file.get("pre_tokenizer") or {}).get("pretokenizers", [])
         self.by_pieces = (
@@ -86,48 +108,43 @@ class IdEncoder:
         )
         added = sorted((t["content"] for t in file.get("added_tokens", [])), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.known: dict[str, bytes] = {}
+        self.number = [i.to_bytes(np.dtype(width).itemsize, "little") for i in range(self.size(file))]
+        self.pieces_known, self.words_known = _Known(self._piece), _Known(self._word)
+        self.unusual_known = _Known(self._whole)
 
-    def _packed(self, ids: Sequence[int]) -> bytes:
-        return np.array(ids, dtype=self.width).tobytes()
+    @staticmethod
+    def size(file: dict) -> int:
+        """One more than the largest id of a tokenizer file."""
+        added = (t["id"] for t in file.get("added_tokens", []))
+        return max(*file["model"]["vocab"].values(), *added) + 1
+
+    def _packed(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.number.__getitem__, ids))
 
     def _whole(self, text: str) -> bytes:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
         """The ids of a piece that the pattern gives, in lower case."""
-        words = [piece]
         if not piece.isascii():
-            words = [word for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)]
-        return self._packed([t.id for w in words for t in self.tokenizer.model.tokenize(w)])
-
-    def _remembered(self, keys: list[str], encode: Callable[[str], bytes]) -> bytes:
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, keys))
-        except KeyError:
-            out = []
-            for key in keys:
-                ids = known.get(key)
-                if ids is None:
-                    ids = encode(key)
-                    if len(key) <= PIECE:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[key] = ids
-                out.append(ids)
-            return b"".join(out)
+            piece = "".join(map(self.symbol.__getitem__, piece.encode()))
+        return self._packed([t.id for t in self.model.tokenize(piece)])
+
+    def _word(self, word: str) -> bytes:
+        return b"".join(map(self.pieces_known.__getitem__, self.pieces.findall(word)))
+
+    def _ordinary(self, text: str) -> bytes:
+        # Of all white space, ordinary text has the six ASCII spaces only.
+        return b"".join(map(self.words_known.__getitem__, text.lower().split()))
 
     def encode(self, text: str) -> bytes:
         """The ids of the text as little-endian unsigned integers of ``width``."""
         if not self.by_pieces or (self.added and self.added.search(text)):
             return self._whole(text)
         if self.ordinary.fullmatch(text):
-            return self._remembered(self.pieces.findall(text.lower()), self._piece)
+            return self._ordinary(text)
         return b"".join(
-            self._remembered(self.pieces.findall(chunk.lower()), self._piece)
-            if self.ordinary.fullmatch(chunk)
-            else self._remembered([chunk], self._whole)
+            self._ordinary(chunk) if self.ordinary.fullmatch(chunk) else self.unusual_known[chunk]
             for chunk in re.split(r"[\x20\x09-\x0D]+", text)
             if chunk
         )
@@ -135,9 +152,7 @@ class IdEncoder:
 
 def id_width(vocabulary: str, end_id: int) -> str:
     """The type that holds all ids."""
-    file = json.loads(vocabulary)
-    ids = [end_id, *file["model"]["vocab"].values(), *(t["id"] for t in file.get("added_tokens", []))]
-    return "<u2" if max(ids) < 1 << 16 else "<u4"
+    return "<u2" if max(end_id, IdEncoder.size(json.loads(vocabulary)) - 1) < 1 << 16 else "<u4"
 
 
 _LOADED: dict[int, IdEncoder] = {}
@@ -312,7 +327,7 @@ def _range_starts(keys: DataFrame, parts: int) -> list[tuple]:
 def _encoded(load: Callable[[], IdEncoder], end_id: int, starts: list[tuple]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load()
-        end = np.array([end_id], dtype=encoder.width).tobytes()
+        end = end_id.to_bytes(np.dtype(encoder.width).itemsize, "little")
         for batch in batches:
             doc_ids, rows = batch.column("id"), batch.column("row")
             parts = [
