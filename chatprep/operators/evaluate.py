@@ -212,6 +212,84 @@ def eval_metrics(details: DataFrame) -> DataFrame:
     )
 
 
+#: Size parameter of the quantile sketches of a summary.
+SKETCH_SIZE = 2048
+
+
+def rank_error(size: int = SKETCH_SIZE) -> float:
+    """The error of the ranks that sketches of this size give, as a share of all values, that is not
+    exceeded in 99 of 100 cases, however often they are merged."""
+    # The published error curve of these sketches.
+    return 2.296 / size**0.9723
+
+
+def eval_summaries(
+    details: DataFrame, by: Sequence[str] = (), size: int = SKETCH_SIZE
+) -> DataFrame:
+    """``(*by, metric, n, total, lo, hi, sketch)``: per group and metric what a later run needs of
+    these details: count, sum, extremes, and a quantile sketch of bounded size.
+
+    Stored per run or shard, summaries of new details are merged with those of earlier ones by
+    ``merge_summaries``, and earlier details need not be read again. Nulls are left out; a group
+    without values of a metric has no row for it.
+    """
+    pairs = [
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+        for c in METRIC_COLUMNS
+    ]
+    values = details.select(*by, F.inline(F.array(*pairs))).where("value IS NOT NULL")
+    return values.groupBy(*by, "metric").agg(
+        F.count("value").alias("n"),
+        F.sum("value").alias("total"),
+        F.min("value").alias("lo"),
+        F.max("value").alias("hi"),
+        F.kll_sketch_agg_double("value", F.lit(size)).alias("sketch"),
+    )
+
+
+def merge_summaries(
+    summaries: DataFrame, by: Sequence[str] = (), size: int = SKETCH_SIZE
+) -> DataFrame:
+    """``(*by, metric, n, total, mean, lo, hi, median, rank_error)`` of all details that are summed up.
+
+    The median's true rank lies within ``rank_error * n`` of the middle one (see ``rank_error``); it
+    is one of the values. ``eval_metrics`` gives the exact one, for which it reads the details.
+    """
+    merged = summaries.groupBy(*by, "metric").agg(
+        F.sum("n").alias("n"),
+        F.sum("total").alias("total"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.kll_merge_agg_double("sketch", F.lit(size)).alias("sketch"),
+    )
+    return merged.select(
+        *by,
+        "metric",
+        "n",
+        "total",
+        (F.col("total") / F.col("n")).alias("mean"),
+        "lo",
+        "hi",
+        F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)).alias("median"),
+        F.lit(rank_error(size)).alias("rank_error"),
+    )
+
+
+def median_ranks(details: DataFrame, merged: DataFrame) -> DataFrame:
+    """``(metric, below, upto)``: the shares of values below and up to the merged medians, to be
+    compared with a half. ``merged`` has one row per metric."""
+    pairs = [
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+        for c in METRIC_COLUMNS
+    ]
+    values = details.select(F.inline(F.array(*pairs))).where("value IS NOT NULL")
+    placed = values.join(F.broadcast(merged.select("metric", "median")), "metric")
+    return placed.groupBy("metric").agg(
+        F.avg((F.col("value") < F.col("median")).cast("double")).alias("below"),
+        F.avg((F.col("value") <= F.col("median")).cast("double")).alias("upto"),
+    )
+
+
 def speed_summary(timings: DataFrame) -> DataFrame:
     """One row over recorded generations (``generation_time``, ``tokens_per_second``)."""
 

@@ -113,6 +113,68 @@ def before_cut(
     return joined, F.coalesce(place <= F.col("cut"), F.lit(False))
 
 
+def hash_rank(df: DataFrame, key: Sequence[str], seed: int, digits: int = 4) -> DataFrame:
+    """Adds ``rank``, from 0, in the hash order of the rows.
+
+    Rows are counted per prefix of their hash, of ``digits`` hex digits; a window ranks those of one
+    prefix. The counts, ``16 ** digits`` at most, are summed up in one task.
+    """
+    rows = df.withColumn("_h", order_hash(key, seed)).withColumn("_prefix", F.substring("_h", 1, digits))
+    counts = rows.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select(
+        "_prefix", (F.sum("_n").over(Window.orderBy("_prefix")) - F.col("_n")).alias("_before")
+    )
+    inside = F.row_number().over(Window.partitionBy("_prefix").orderBy("_h", *key)) - 1
+    # A proven size: 16 ** digits rows.
+    ranked = rows.withColumn("_inside", inside).join(F.broadcast(before), "_prefix")
+    return ranked.withColumn("rank", F.col("_before") + F.col("_inside")).drop(
+        "_h", "_prefix", "_inside", "_before"
+    )
+
+
+def group_cut(
+    df: DataFrame, group: Sequence[str], take: Callable[[Column], Column], seed: int
+) -> DataFrame:
+    """Where to cut the hash order of the groups of ``df`` so that the number of rows before the cut
+    is as near as possible to ``take(n)`` of all ``n`` rows; of two equally near cuts the earlier one.
+
+    One row ``cut``, the struct ``(h, *group)`` of the last group taken, or none if nothing is. Groups
+    are counted first, then summed per prefix of their hash; only the groups of one prefix of six
+    digits are ordered one by one. A group of any size is one row there.
+    """
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.withColumn("h", order_hash(group, seed))
+
+    def summed(frame: DataFrame, digits: int, *carry: str) -> DataFrame:
+        prefix = F.substring("h", 1, digits).alias("bucket")
+        return frame.groupBy(*carry, prefix).agg(F.sum("n").alias("n"))
+
+    first = summed(sizes, 3)
+    wanted = first.withColumn("k", take(F.sum("n").over(Window.partitionBy())))
+    # The rank just behind the last row that is wanted lies in the group that may be cut off.
+    behind = F.least(F.greatest(F.col("k"), F.lit(0)) + 1, F.sum("n").over(Window.partitionBy()))
+    wanted = wanted.withColumn("goal", behind).drop("k").withColumnRenamed("goal", "k")
+    goal = _holding_rank(wanted, [], ["bucket"])
+    inside = sizes.withColumn("bucket", F.substring("h", 1, 3)).join(F.broadcast(goal), "bucket")
+    goal = _holding_rank(summed(inside, 6, "k"), [], ["bucket"])
+    inside = sizes.withColumn("bucket", F.substring("h", 1, 6)).join(F.broadcast(goal), "bucket")
+    place = F.struct("h", *group)
+    reached = _holding_rank(inside, [], ["h", *group], keep_size=True).select(place.alias("at"))
+    # Rows up to that group and before it, from the groups' sizes.
+    upto = sizes.where(place <= reached.scalar()).agg(
+        F.sum("n").alias("upto"),
+        F.max_by("n", place).alias("last_n"),
+        F.max(place).alias("at"),
+        F.max(F.when(place < reached.scalar(), place)).alias("before"),
+    )
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    goal = take(F.lit(total.scalar()))
+    over, short = F.col("upto") - goal, goal - (F.col("upto") - F.col("last_n"))
+    return upto.select(F.when(over < short, F.col("at")).otherwise(F.col("before")).alias("cut")).where(
+        "cut IS NOT NULL"
+    )
+
+
 def nth_id(df: DataFrame, row_id: str, n: int) -> DataFrame:
     """One row ``cut``: the ``n``-th smallest of the integer ids, no row if there are fewer.
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatprep.operators.ranks import before_cut, hash_cut, nth_id
+from chatprep.operators.ranks import before_cut, group_cut, hash_cut, nth_id
 
 
 def train_rows(n: Column, val_ratio: float) -> Column:
@@ -30,6 +30,22 @@ def split_dataset(
     return df.withColumn("split", F.when(in_train, "train").otherwise("validation"))
 
 
+def split_by_group(
+    df: DataFrame, group: Sequence[str], val_ratio: float = 0.1, seed: int = 42
+) -> DataFrame:
+    """``df`` with a column ``split``, as ``split_dataset`` gives it, but with all rows of a group on
+    one side: all turns of a conversation, or all copies of a text.
+
+    Groups are taken in hash order as long as that brings the number of training rows nearer to the
+    exact size, so it is off by half a group at most. Rows whose group is null are one group.
+    """
+    if not 0 <= val_ratio <= 1:
+        raise ValueError(f"a share of the rows is between 0 and 1: {val_ratio}")
+    cut = group_cut(df, group, lambda n: train_rows(n, val_ratio), seed)
+    df, in_train = before_cut(df, group, cut, seed)
+    return df.withColumn("split", F.when(in_train, "train").otherwise("validation"))
+
+
 def split_counts(split: DataFrame) -> DataFrame:
     return split.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 

@@ -119,6 +119,17 @@ def validate_chat(
     return judged.select("line", F.inline(found))
 
 
+def validate_chat_files(lines: DataFrame, all_messages: bool = False) -> DataFrame:
+    """``(file, line, msg_idx, reason)`` of the lines of files that are not valid chat records.
+
+    ``lines`` has ``(file, line, value)``, as ``sources.pieces.numbered_lines`` gives them. A blank
+    line is no record, and so a violation too.
+    """
+    placed = lines.select(F.struct("file", "line").alias("place"), "value")
+    found = validate_chat(placed, "place", all_messages=all_messages)
+    return found.select("line.file", "line.line", "msg_idx", "reason")
+
+
 def first_violation(violations: DataFrame) -> DataFrame:
     """The violation a reader going line by line would meet first."""
     place = F.struct("line", F.coalesce("msg_idx", F.lit(-1)))

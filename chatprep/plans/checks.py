@@ -12,6 +12,8 @@ from chatprep.operators import runs as rn
 from chatprep.operators import validate as va
 from chatprep.plans import inputs, sql
 from chatprep.plans.registry import query
+from chatprep.sources.pieces import numbered_lines
+from chatprep.sources.scratch import scratch_path
 
 # The same broken lines as in the input, one rule per remainder.
 _LINES = f"""{sql.CHAT}, lines AS (
@@ -80,6 +82,33 @@ def validate_chat(spark, sf_dir):
     return va.validate_chat(inputs.chat_lines(spark, sf_dir), "doc_id")
 
 
+#: Documents of each file of chat lines.
+LINES_PER_FILE = 500
+
+
+@query(
+    "validate_chat_files",
+    f"""WITH {_VIOLATIONS}, places AS (
+  SELECT doc_id, doc_id // {LINES_PER_FILE} AS part, row_number() OVER (
+      PARTITION BY doc_id // {LINES_PER_FILE} ORDER BY doc_id) AS number FROM documents)
+SELECT part, number AS line, msg_idx, reason FROM found JOIN places ON doc_id = found.line""",
+)
+def validate_chat_files(spark, sf_dir):
+    """The records as lines of files, in the order of their documents; found by file and line."""
+    path = scratch_path(spark, "chat-files")
+    part = F.expr(f"doc_id div {LINES_PER_FILE}")
+    lines = inputs.chat_lines(spark, sf_dir).withColumn("part", part)
+    ordered = lines.repartition("part").sortWithinPartitions("part", "doc_id")
+    ordered.drop("doc_id").write.partitionBy("part").text(path)
+    found = va.validate_chat_files(numbered_lines(spark, f"{path}/*"))
+    return found.select(
+        F.regexp_extract("file", r"part=(\d+)", 1).cast("bigint").alias("part"),
+        "line",
+        "msg_idx",
+        "reason",
+    )
+
+
 @query(
     "validate_chat_verdict",
     f"""WITH {_VIOLATIONS} SELECT count(*) AS n_violations, min(line) AS line,

@@ -202,6 +202,41 @@ def eval_metrics(spark, sf_dir):
     return rounded(ev.eval_metrics(spark.read.parquet(stored)))
 
 
+_METRICS = ("generation_time", "tokens_per_second", "tokens_generated")
+_EACH = " UNION ALL ".join(
+    f"""SELECT '{m}' AS metric, count({m}) AS n, round(sum({m}::DOUBLE), 6) AS total,
+  round(avg({m}::DOUBLE), 6) AS mean, min({m}::DOUBLE) AS lo, max({m}::DOUBLE) AS hi,
+  true AS median_in_bounds FROM timings"""
+    for m in _METRICS
+)
+
+
+@query("eval_summaries", f"WITH {sql.TIMINGS} {_EACH}")
+def eval_summaries(spark, sf_dir):
+    """Summaries of two shards stored at different times, merged; the medians' true ranks are within
+    the stated error."""
+    base = scratch_path(spark, "summaries")
+    timings = inputs.timings(spark, sf_dir)
+    timings.write.parquet(f"{base}/details")
+    details = spark.read.parquet(f"{base}/details")
+    for shard in range(2):
+        part = details.where(F.col("turn") % 2 == shard).withColumn("shard", F.lit(shard))
+        ev.eval_summaries(part, ["shard"]).write.parquet(f"{base}/sums/part={shard}")
+    merged = ev.merge_summaries(spark.read.parquet(f"{base}/sums"))
+    ranks = ev.median_ranks(details, merged)
+    error = F.col("rank_error")
+    within = (F.col("below") <= 0.5 + error) & (F.col("upto") >= 0.5 - error)
+    return merged.join(ranks, "metric").select(
+        "metric",
+        "n",
+        F.round("total", 6).alias("total"),
+        F.round("mean", 6).alias("mean"),
+        "lo",
+        "hi",
+        within.alias("median_in_bounds"),
+    )
+
+
 @query(
     "evaluate_on_dataset",
     f"""WITH {sql.PAIRS}, responses AS (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chatprep.functions import text as tx
@@ -170,6 +171,84 @@ def pack_sequences(spark, sf_dir):
     return pk.pack_sequences(sized, "doc_id", "n_tokens", _BLOCK, width=4096)
 
 
+_CONVERSATIONS = f"""sized AS (SELECT conv_id, sum(len({sql.words("text")}))::BIGINT AS n_tokens
+  FROM conversations GROUP BY conv_id)"""
+_WHOLE_BLOCK = 2048
+
+
+def _conversation_sizes(spark, sf_dir):
+    words = tx.word_count(F.col("content")).cast("bigint")
+    return inputs.turns(spark, sf_dir).groupBy("conv_id").agg(F.sum(words).alias("n_tokens"))
+
+
+@query(
+    "pack_whole",
+    f"""WITH {_CONVERSATIONS} SELECT conv_id, n_tokens,
+  CASE WHEN n_tokens BETWEEN 1 AND {_WHOLE_BLOCK} THEN 'packed' ELSE 'left out' END AS place
+FROM sized""",
+)
+def pack_whole(spark, sf_dir):
+    """Whether each conversation lies whole in its block, without touching another one there."""
+    packed = pk.pack_whole(_conversation_sizes(spark, sf_dir), "conv_id", "n_tokens", _WHOLE_BLOCK)
+    end = F.col("block_offset") + F.col("n_tokens")
+    following = F.lead("block_offset", 1, _WHOLE_BLOCK).over(
+        Window.partitionBy("block").orderBy("block_offset")
+    )
+    apart = packed.where("block IS NOT NULL").withColumn("apart", end <= following)
+    judged = apart.unionByName(packed.where("block IS NULL"), allowMissingColumns=True)
+    place = F.when(F.col("block").isNull(), "left out").when(F.col("apart"), "packed").otherwise("overlaps")
+    return judged.select("conv_id", "n_tokens", place.alias("place"))
+
+
+@query(
+    "pack_whole_fill",
+    f"""WITH {_CONVERSATIONS} SELECT count(*) FILTER (n_tokens BETWEEN 1 AND {_WHOLE_BLOCK}) AS n_packed,
+  sum(n_tokens) FILTER (n_tokens BETWEEN 1 AND {_WHOLE_BLOCK})::BIGINT AS n_tokens,
+  true AS well_filled FROM sized""",
+)
+def pack_whole_fill(spark, sf_dir):
+    """Blocks are filled to 95 % at least, but for the last one."""
+    packed = pk.pack_whole(_conversation_sizes(spark, sf_dir), "conv_id", "n_tokens", _WHOLE_BLOCK)
+    fill = pk.packing_fill(packed, _WHOLE_BLOCK)
+    full = F.col("n_tokens") >= 0.95 * _WHOLE_BLOCK * (F.col("n_blocks") - 1)
+    return fill.select("n_packed", "n_tokens", full.alias("well_filled"))
+
+
+_MEGA, _BUDGET = 64, 4096
+_BATCHES = f"""RECURSIVE {_CONVERSATIONS}, ranked AS (SELECT *, (row_number() OVER (
+      ORDER BY md5(conv_id || ':42'), conv_id) - 1) // {_MEGA} AS mega FROM sized),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY mega ORDER BY n_tokens DESC, conv_id) - 1 AS pos,
+    greatest({_BUDGET} // greatest(n_tokens, 1), 1) AS room FROM ranked),
+starts AS (SELECT mega, pos, room FROM ordered WHERE pos = 0
+  UNION ALL
+  SELECT o.mega, o.pos, o.room FROM starts s JOIN ordered o ON o.mega = s.mega AND o.pos = s.pos + s.room),
+numbered AS (SELECT mega, pos, room, row_number() OVER (ORDER BY mega, pos) - 1 AS batch FROM starts),
+batches AS (SELECT o.conv_id, o.n_tokens AS length, o.mega, b.batch, (o.pos - b.pos)::INTEGER AS place
+  FROM ordered o JOIN numbered b ON b.mega = o.mega AND o.pos >= b.pos AND o.pos < b.pos + b.room)"""
+
+
+def _length_batches(spark, sf_dir):
+    sizes = _conversation_sizes(spark, sf_dir)
+    return pk.length_batches(sizes, "conv_id", "n_tokens", _BUDGET, mega_batch=_MEGA)
+
+
+@query("length_batches", f"WITH {_BATCHES} SELECT conv_id, length, mega, batch, place FROM batches")
+def length_batches(spark, sf_dir):
+    return _length_batches(spark, sf_dir)
+
+
+@query(
+    "length_batches_padding",
+    f"""WITH {_BATCHES}, padded AS (SELECT sum(length)::BIGINT AS own, max(length) * count(*) AS padded
+  FROM batches GROUP BY batch)
+SELECT count(*) AS n_batches, sum(own)::BIGINT AS n_tokens, sum(padded)::BIGINT AS n_padded,
+  round(1 - sum(own) / sum(padded), 6) AS padding FROM padded""",
+)
+def length_batches_padding(spark, sf_dir):
+    share = pk.padding_share(_length_batches(spark, sf_dir))
+    return share.withColumn("padding", F.round("padding", 6))
+
+
 @query(
     "length_buckets",
     """SELECT n_chars // 512 AS bucket, count(*) AS n, min(n_chars) AS min_length,

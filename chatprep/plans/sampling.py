@@ -37,6 +37,24 @@ def split_dataset_turns(spark, sf_dir):
     return split.select("conv_id", "turn", "split")
 
 
+@query(
+    "split_by_group",
+    """WITH sizes AS (SELECT conv_id, count(*) AS n, md5(conv_id || ':42') AS h
+  FROM conversations GROUP BY conv_id),
+placed AS (SELECT conv_id, n, h, sum(n) OVER (ORDER BY h, conv_id) AS upto,
+    (SELECT floor(count(*) * (1::DOUBLE - 0.15::DOUBLE)) FROM conversations) AS goal FROM sizes),
+nearest AS (SELECT upto FROM (SELECT upto, goal FROM placed UNION ALL SELECT 0, max(goal) FROM placed)
+  ORDER BY abs(upto - goal), upto LIMIT 1)
+SELECT c.conv_id, c.turn,
+  CASE WHEN p.upto <= (SELECT upto FROM nearest) THEN 'train' ELSE 'validation' END AS split
+FROM conversations c JOIN placed p ON p.conv_id = c.conv_id""",
+)
+def split_by_group(spark, sf_dir):
+    """The turns of a conversation stay together."""
+    turns = inputs.turns(spark, sf_dir)
+    return sm.split_by_group(turns, ["conv_id"], val_ratio=0.15).select("conv_id", "turn", "split")
+
+
 @query("split_counts", f"WITH {_SPLIT} SELECT split, count(*) AS n FROM split GROUP BY split")
 def split_counts(spark, sf_dir):
     docs = inputs.table(spark, sf_dir, "documents")

@@ -57,6 +57,19 @@ def read_csv(spark, sf_dir):
     return files.read_csv(spark, path)
 
 
+@query(
+    "read_csv_pieces",
+    f"""WITH {sql.ALPACA} SELECT doc_id::VARCHAR AS doc_id, instruction,
+  nullif(input, '') AS input, nullif(output, '') AS output FROM alpaca""",
+)
+def read_csv_pieces(spark, sf_dir):
+    """The same files, cut into pieces whatever their size."""
+    path = scratch_path(spark, "alpaca") + ".csv"
+    rows = inputs.alpaca(spark, sf_dir)
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    return files.read_csv(spark, path, pieces=True)
+
+
 #: Files of JSON values, one value each, at least; more if the texts have more bytes than fit.
 JSON_FILES = 16
 JSON_FILE_BYTES = 32 << 20
@@ -95,6 +108,15 @@ def read_json(spark, sf_dir):
     return rows.select("doc_id", "lang", "text")
 
 
+@query("read_json_pieces", _DOCS)
+def read_json_pieces(spark, sf_dir):
+    """The same files, of one line each, cut into pieces whatever their size."""
+    path = scratch_path(spark, "arrays") + ".json"
+    _write_json_arrays(spark, sf_dir, path, as_columns=False)
+    rows = files.read_json(spark, path, "doc_id bigint, lang string, text string", pieces=True)
+    return rows.select("doc_id", "lang", "text")
+
+
 @query("read_json_columns", _DOCS)
 def read_json_columns(spark, sf_dir):
     path = scratch_path(spark, "columns") + ".json"

@@ -11,6 +11,7 @@ from chatprep.sources import files
 from chatprep.sources.files import write_jsonl
 from chatprep.sources.scratch import scratch_path
 from chatprep.streaming import metrics as st
+from chatprep.streaming import stopping as ss
 
 _LOG = """log AS (
   SELECT 'shop' AS project, event_type AS experiment, user_id::VARCHAR AS run, event_id AS step,
@@ -58,6 +59,22 @@ def fanout_sink(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query("fanout_compacted", f"WITH {_LOG} SELECT log.* FROM log")
+def fanout_compacted(spark, sf_dir):
+    """Batches of a stream, of which the first ones are compacted before the others arrive."""
+    base = scratch_path(spark, "compacted")
+    entries = inputs.log_entries(spark, sf_dir)
+    early = F.col("step") % 2 == 0
+    sink = st.CompactedSink(f"{base}/table", fan_in=2)
+    for part in (entries.where(early), entries.where(~early)):
+        part.write.mode("append").option("ignoreNullFields", False).json(f"{base}/in")
+        arriving = st.read_log_stream(spark, f"{base}/in", max_files_per_trigger=1)
+        st.fanout_sink(arriving, {"table": sink}, f"{base}/checkpoint").awaitTermination()
+        if not sink.manifest(spark)["version"]:
+            sink.compact(spark)
+    return st.read_sink(spark, sink, ("project", "experiment", "run", "step", "key", "value"))
+
+
 @query(
     "log_text",
     """WITH ends AS (SELECT user_id::VARCHAR AS run, event_type AS experiment,
@@ -80,14 +97,15 @@ FROM ends
 UNION ALL SELECT DISTINCT 'shop', event_type, user_id::VARCHAR, 'status', 'archived' FROM events""",
 )
 def log_text_table(spark, sf_dir):
-    """Notes appended to a table in two goes and read back."""
+    """Notes put into a table in two goes, of which the first is repeated, and read back."""
     path = scratch_path(spark, "notes")
     notes = rn.log_text(inputs.log_entries(spark, sf_dir))
     files.append_notes(notes, path)
+    files.append_notes(notes, path)
     runs = notes.select(*rn.RUN_ID).distinct()
     archived = runs.withColumns({"key": F.lit("status"), "text": F.lit("archived")})
     files.append_notes(archived, path)
-    return spark.read.parquet(path)
+    return files.read_rows(spark, path)
 
 
 @query(
@@ -194,6 +212,21 @@ def early_stop_default(spark, sf_dir):
     return rn.early_stop(log, ["run"], "step", "eval_loss", steps_per_chunk=512)
 
 
+@query("early_stop_stream", _early_stop_sql(3, 20.0))
+def early_stop_stream(spark, sf_dir):
+    """The evaluations arrive in files, a few per trigger; the last verdict of each run counts."""
+    base = scratch_path(spark, "evaluations")
+    log = inputs.run_log(spark, sf_dir)
+    log.repartitionByRange(6, "step").write.parquet(f"{base}/in")
+    arriving = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2)
+    verdicts = ss.early_stop_stream(
+        arriving.parquet(f"{base}/in"), ["run"], "step", "eval_loss", "ts", "30 days", 3, 20.0
+    )
+    sink = st.TableSink(f"{base}/verdicts")
+    ss.write_verdicts(verdicts, sink, f"{base}/checkpoint").awaitTermination()
+    return ss.latest_verdicts(spark, sink, ["run"])
+
+
 _STATS = f"""{sql.RUN_LOG}, last AS (
   SELECT run, eval_loss, row_number() OVER (PARTITION BY run ORDER BY step DESC) AS rn
   FROM run_log),
@@ -222,12 +255,13 @@ def final_stats(spark, sf_dir):
     f"WITH {_STATS} SELECT *, 2 * run AS batch_size FROM stats",
 )
 def write_run_stats(spark, sf_dir):
-    """Statistics and configuration of finished runs, appended in two goes and read back."""
+    """Statistics and configuration of finished runs in two goes; the second has all runs, so it
+    replaces those of the first."""
     path = scratch_path(spark, "runs")
     rows = _final_stats(spark, sf_dir).withColumn("batch_size", 2 * F.col("run"))
-    files.write_run_stats(rows.where("final_eval_loss IS NULL"), path)
-    files.write_run_stats(rows.where("final_eval_loss IS NOT NULL"), path)
-    return spark.read.parquet(path)
+    files.write_run_stats(rows.where("final_eval_loss IS NULL"), path, ["run"])
+    files.write_run_stats(rows, path, ["run"])
+    return files.read_rows(spark, path)
 
 
 _PLAN = """SELECT source, n, (per_device * accumulation)::BIGINT AS effective_batch_size,

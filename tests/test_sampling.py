@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import statistics
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,3 +116,31 @@ def test_medians_skip_nulls(spark):
     assert [(r.metric, r.n, r["median"]) for r in ranks.summarize(df, ["a", "b"]).collect()] == [
         ("a", 2, 2.0)
     ]
+
+
+@pytest.mark.parametrize("ratio", [0.0, 0.1, 0.37, 0.5, 1.0])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_groups_are_never_split(spark, ratio, seed):
+    rng = random.Random(seed)
+    rows = [(f"g{i}" if i % 9 else None, j) for i in range(60) for j in range(rng.choice([1, 1, 2, 40]))]
+    df = spark.createDataFrame(rows, "g string, j int").repartition(3)
+    got = sm.split_by_group(df, ["g"], ratio, seed).collect()
+    assert len(got) == len(rows)
+    sides = {}
+    for r in got:
+        assert sides.setdefault(r.g, r.split) == r.split
+    sizes = Counter(g for g, _ in rows)
+    order = sorted(sizes, key=lambda g: (hashlib.md5(":".join(x for x in (g, str(seed)) if x is not None).encode()).hexdigest(), g or ""))
+    sums = [0]
+    for g in order:
+        sums.append(sums[-1] + sizes[g])
+    goal = int(len(rows) * (1 - ratio))
+    best = min(sums, key=lambda s: (abs(s - goal), s))
+    assert sum(r.split == "train" for r in got) == best
+
+
+def test_splitting_no_groups(spark):
+    df = spark.createDataFrame([], "g string")
+    assert sm.split_by_group(df, ["g"]).count() == 0
+    one = spark.createDataFrame([("a",)] * 10, "g string")
+    assert {r.split for r in sm.split_by_group(one, ["g"], 0.4).collect()} == {"train"}

@@ -1,3 +1,6 @@
+import functools
+import math
+import random
 import re
 import statistics
 
@@ -203,3 +206,26 @@ def test_conversation_metrics_on_request(spark):
 
 def test_patterns_are_the_ones_of_the_rule():
     assert re.findall(an.BOXED, "\\boxed{5}") == ["5"]
+
+
+def test_merged_summaries(spark):
+    """Summaries of shards give the counts and sums of all details, and medians within the error."""
+    rng = random.Random(2)
+    rows = [(i % 7, rng.expovariate(1), None if i % 5 else rng.gauss(0, 9), rng.randrange(4)) for i in range(20_000)]
+    kind = "shard int, generation_time double, tokens_per_second double, tokens_generated int"
+    details = spark.createDataFrame(rows, kind)
+    parts = [ev.eval_summaries(details.where(f"shard = {s}"), ["shard"], 256) for s in range(7)]
+    merged = ev.merge_summaries(functools.reduce(lambda a, b: a.unionByName(b), parts), size=256)
+    got = {r.metric: r for r in merged.collect()}
+    for at, metric in enumerate(ev.METRIC_COLUMNS):
+        column = [r[kind.split(", ").index(f"{metric} {'int' if at == 2 else 'double'}")] for r in rows]
+        values = sorted(float(v) for v in column if v is not None)
+        r = got[metric]
+        assert (r.n, r.lo, r.hi) == (len(values), values[0], values[-1])
+        assert math.isclose(r.total, sum(values), rel_tol=1e-9, abs_tol=1e-6)
+        below = sum(v < r.median for v in values) / r.n
+        upto = sum(v <= r.median for v in values) / r.n
+        assert below <= 0.5 + r.rank_error and upto >= 0.5 - r.rank_error and r.rank_error < 0.02
+    ranks = {r.metric: r for r in ev.median_ranks(details, merged).collect()}
+    assert all(r.below <= r.upto for r in ranks.values())
+    assert ev.merge_summaries(ev.eval_summaries(details.where("false"))).count() == 0

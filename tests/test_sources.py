@@ -96,3 +96,18 @@ def test_scratch_is_below_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(base) and first != second
+
+
+def test_rows_are_replaced_by_key(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    kind = "run string, key string, text string"
+    first = spark.createDataFrame([("a", "k", "1"), ("a", "k", "2"), (None, "k", "3"), ("b", "l", "4")], kind)
+    for _ in range(2):
+        files.replace_rows(first, path, ["run", "key"], buckets=3)
+        assert rows(files.read_rows(spark, path).fillna("-")) == [
+            ("-", "k", "3"), ("a", "k", "1"), ("a", "k", "2"), ("b", "l", "4"),
+        ]
+    later = spark.createDataFrame([("a", "k", "5", 1), (None, "k", "6", None)], kind + ", n int")
+    files.replace_rows(later, path, ["run", "key"], buckets=3)
+    got = files.read_rows(spark, path).select("run", "text", "n").fillna("-").fillna(0)
+    assert rows(got) == [("-", "6", 0), ("a", "5", 1), ("b", "4", 0)]
