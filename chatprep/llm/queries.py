@@ -103,12 +103,39 @@ def op4_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _apportioned(table: str, votes: str, house: str, group: str, order: str) -> str:
+    """Sainte-Lague seats of each row of a table, as ``apportioned`` gives them."""
+    return f"""{table}_base AS (
+        SELECT *, {house} AS house, CASE WHEN sum({votes}) OVER {group} > 0
+            THEN {votes} / sum({votes}) OVER {group} ELSE 0.0 END AS part FROM {table}
+    ), {table}_rounded AS (
+        SELECT *, floor(part * house + 0.5)::BIGINT AS base, count(*) OVER {group} AS listed,
+            row_number() OVER ({group[1:-1]} ORDER BY {order}) AS spot FROM {table}_base
+    ), {table}_missing AS (
+        SELECT *, (house - sum(base) OVER {group})::BIGINT AS missing FROM {table}_rounded
+    ), {table}_listed AS (
+        SELECT *, unnest(range(1, 2 + 1 + ceil(part * (abs(missing) + listed))::BIGINT)) AS nth
+        FROM {table}_missing WHERE missing <> 0 AND {votes} > 0
+    ), {table}_turns AS (
+        SELECT *, row_number() OVER (PARTITION BY {order.split(",")[0] if "," in order else "1"} ORDER BY
+            CASE WHEN missing > 0 THEN -({votes} / (2 * (base + nth) - 1))
+                ELSE {votes} / (2 * (base - nth + 1) - 1) END,
+            CASE WHEN missing > 0 THEN spot ELSE -spot END) AS turn
+        FROM {table}_listed WHERE missing > 0 OR nth <= base
+    ), {table}_seats AS (
+        SELECT *, base + sign(missing)::BIGINT * (SELECT count(*) FROM {table}_turns t
+            WHERE turn <= abs(t.missing) AND {" AND ".join(f"t.{c} IS NOT DISTINCT FROM m.{c}" for c in order.split(","))}
+            ) AS seats FROM {table}_missing m
+    )"""
+
+
 @_query(
     "op5_source_mix",
     f"""
     WITH sizes AS (
         SELECT doc_id, source,
-            coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+            coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+            md5('5:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS key
         FROM documents
     ), sources AS (
         SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n FROM sizes GROUP BY source
@@ -129,35 +156,35 @@ def op4_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
             CASE WHEN capped THEN cap::DOUBLE ELSE
                 ((total - sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ()) * weight)::DOUBLE
                 / sum(CASE WHEN capped THEN 0 ELSE weight END) OVER () END AS target,
-            greatest(ceil((source_size + n) / {mixing.SHARD}), 1)::BIGINT AS shards
+            CASE WHEN bool_and(capped) OVER () THEN sum(cap) OVER () ELSE total END::DOUBLE AS mix_size,
+            greatest(ceil((source_size + n) / greatest({mixing.SHARD},
+                ceil(sum(source_size + n) OVER () / {mixing.SHARDS}))), 1)::BIGINT AS shards
         FROM filled
-    ), dealt AS (
-        SELECT s.*, p.source_size, p.target,
-            md5('5:' || coalesce(s.doc_id::VARCHAR, '')) AS key,
-            ('0x' || substr(md5('5:' || coalesce(s.doc_id::VARCHAR, '')), 1, 8))::BIGINT % p.shards AS shard
-        FROM sizes s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
+    ), {_apportioned("planned", "target", f"floor(mix_size / {mixing.BLOCK} + 0.5)::BIGINT", "()", "source")},
+    dealt AS (
+        SELECT s.*, p.source_size, p.target, p.seats AS source_seats,
+            ('0x' || substr(key, 1, 8))::BIGINT % p.shards AS shard
+        FROM sizes s JOIN planned_seats p ON s.source IS NOT DISTINCT FROM p.source
+    ), cells AS (
+        SELECT source, shard, sum(size)::BIGINT AS shard_size, max(source_seats) AS source_seats
+        FROM dealt GROUP BY source, shard
+    ), {_apportioned("cells", "shard_size", "source_seats", "(PARTITION BY source)", "source,shard")},
+    chosen AS (
+        SELECT source, shard, shard_size, greatest(shard_size, 1) AS turns,
+            least(seats * {mixing.BLOCK}, 3 * shard_size) AS words,
+            ('0x' || substr(md5('5:' || coalesce(source, '') || ':' || shard::VARCHAR || ':offset'), 1, 8))::BIGINT
+                % greatest(ceil(shard_size / {mixing.BLOCK}), 1)::BIGINT * {mixing.BLOCK} AS low
+        FROM cells_seats
     ), running AS (
-        SELECT *, sum(size) OVER (PARTITION BY source, shard)::BIGINT AS shard_size,
-            sum(size) OVER (PARTITION BY source, shard ORDER BY key, doc_id
+        SELECT d.*, c.shard_size, words // turns AS passes, words % turns AS extra, low,
+            sum(size) OVER (PARTITION BY d.source, d.shard ORDER BY key, doc_id
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS hi
-        FROM dealt
-    ), blocks AS (
-        SELECT *, hi - size AS lo, greatest(ceil(shard_size / {mixing.BLOCK}), 1)::BIGINT AS blocks,
-            floor(CASE WHEN source_size > 0 THEN target * shard_size / source_size ELSE 0.0 END
-                / {mixing.BLOCK} + 0.5)::BIGINT AS quota
-        FROM running
-    ), runs AS (
-        SELECT *, quota // blocks AS passes, quota % blocks AS extra,
-            ('0x' || substr(md5('5:' || coalesce(source, '') || ':' || shard::VARCHAR || ':offset'), 1, 8))::BIGINT
-                % blocks AS first
-        FROM blocks
+        FROM dealt d JOIN chosen c ON d.source IS NOT DISTINCT FROM c.source AND d.shard = c.shard
     )
     SELECT doc_id, size, source_size, target, (passes * size
-        + greatest(least(hi, least((first + extra) * {mixing.BLOCK}, shard_size))
-            - greatest(lo, first * {mixing.BLOCK}), 0)
-        + greatest(least(hi, greatest(first + extra - blocks, 0) * {mixing.BLOCK}) - lo, 0))::BIGINT
-        AS taken
-    FROM runs
+        + greatest(least(hi, low + extra, shard_size) - greatest(hi - size, low), 0)
+        + greatest(least(hi, greatest(low + extra - shard_size, 0)) - (hi - size), 0))::BIGINT AS taken
+    FROM running
     """,
 )
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
