@@ -18,6 +18,8 @@ from chatprep.operators.joins import null_safe_join
 
 #: Bits of an id that one level of ``nth_id`` looks at.
 ID_BITS = 16
+#: Groups of which a table with one row each is broadcast.
+FEW_GROUPS = 10_000
 #: Quantiles that one level of ``summarize`` asks for; their rank error is 1 / ACCURACY at most.
 QUANTILES = 1024
 ACCURACY = 65536
@@ -52,27 +54,31 @@ def hash_cut(
     take: Callable[[Column], Column],
     seed: int,
     by: str | None = None,
+    groups: int | None = None,
 ) -> DataFrame:
     """Where to cut the hash order of ``df`` so that exactly ``take(n)`` of its ``n`` rows lie
     before the cut.
 
     ``key`` identifies a row. Gives one row ``(by, cut)`` per group, with ``cut`` the struct
     ``(h, *key)`` of the last row taken; a group of which nothing is taken has no row. ``by`` must
-    name data sets, which the table of cuts has one row each of. More or fewer rows than a group
-    has, or less than none, cannot be taken: the job fails.
+    name data sets, which the table of cuts has one row each of; if they are known to be ``groups``
+    at most, that table is broadcast. More or fewer rows than a group has, or less than none, cannot
+    be taken: the job fails.
+
+    Rows are counted per prefix of their hash, and those of one prefix ranked: one of ``16 ** 4``, or
+    of ``16 ** 3`` per group, in all.
     """
+    digits = 3 if by else 4
     group = [by] if by else []
     rows = df.select(*group, *key, order_hash(key, seed).alias("h"))
 
     def small(frame: DataFrame) -> DataFrame:
-        # One row without groups; else Spark decides by the size.
-        return frame if by else F.broadcast(frame)
-
-    def counted(frame: DataFrame, digits: int, carry: Sequence[str]) -> DataFrame:
-        prefix = F.substring("h", 1, digits).alias("bucket")
-        return frame.groupBy(*group, *carry, prefix).agg(F.count(F.lit(1)).alias("n"))
+        # One row, or one per group, of which there are few; else Spark decides by the size.
+        few = by is None or (groups is not None and groups <= FEW_GROUPS)
+        return F.broadcast(frame) if few else frame
 
-    first = counted(rows, 3, [])
+    prefix = F.substring("h", 1, digits).alias("bucket")
+    first = rows.groupBy(*group, prefix).agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy(*group))
     possible = F.when(
         (F.col("k") < 0) | (F.col("k") > F.col("total")),
@@ -83,19 +89,10 @@ def hash_cut(
     wanted = first.withColumn("total", total).withColumn("k", take(F.col("total")))
     goal = _holding_rank(wanted.withColumn("k", possible).drop("total"), group, ["bucket"])
 
-    # Second level: another 3 hex digits inside the chosen bucket, then the ranking itself.
-    inside = rows.withColumn("bucket", F.substring("h", 1, 3)).join(
-        small(goal), [*group, "bucket"]
-    )
-    second = counted(inside.drop("bucket"), 6, ["k"])
-    goal = _holding_rank(second, group, ["bucket"])
-
     # Copies of a key, which there should be none of, are counted and not ranked one by one.
-    inside = rows.withColumn("bucket", F.substring("h", 1, 6)).join(
-        small(goal), [*group, "bucket"]
-    )
-    third = inside.groupBy(*group, "bucket", "h", *key, "k").agg(F.count(F.lit(1)).alias("n"))
-    last = _holding_rank(third, [*group, "bucket"], ["h", *key], keep_size=True)
+    inside = rows.withColumn("bucket", prefix).join(small(goal), [*group, "bucket"])
+    second = inside.groupBy(*group, "bucket", "h", *key, "k").agg(F.count(F.lit(1)).alias("n"))
+    last = _holding_rank(second, [*group, "bucket"], ["h", *key], keep_size=True)
     unique = F.when(
         F.col("k") < F.col("n"), F.raise_error(F.lit("the key does not identify a row"))
     ).otherwise(F.struct("h", *key))
@@ -103,13 +100,20 @@ def hash_cut(
 
 
 def before_cut(
-    df: DataFrame, key: Sequence[str], cut: DataFrame, seed: int, by: str | None = None
+    df: DataFrame,
+    key: Sequence[str],
+    cut: DataFrame,
+    seed: int,
+    by: str | None = None,
+    groups: int | None = None,
 ) -> tuple[DataFrame, Column]:
-    """``df`` and the boolean column that tells whether a row lies before the cut."""
+    """``df`` and the boolean column that tells whether a row lies before the cut; ``groups`` as
+    for ``hash_cut``."""
     place = F.struct(order_hash(key, seed).alias("h"), *[F.col(k) for k in key])
     if by is None:
         return df, F.coalesce(place <= cut.scalar(), F.lit(False))
-    joined = null_safe_join(df, cut, [by], "left")
+    few = groups is not None and groups <= FEW_GROUPS
+    joined = null_safe_join(df, F.broadcast(cut) if few else cut, [by], "left")
     return joined, F.coalesce(place <= F.col("cut"), F.lit(False))
 
 

@@ -69,17 +69,15 @@ def log_text(log: DataFrame, run: Sequence[str] = RUN_ID, step: str = "step") ->
 def elapsed_minutes(log: DataFrame, run: Sequence[str], ts: str = "ts") -> DataFrame:
     """Adds ``training_time_minutes`` since the run's first entry.
 
-    The start comes from partial aggregates per run and hour, and is joined back by run and hour, so
-    that a run with very many entries is not gathered in one task. Entries of a null run are one
-    run; an entry without a time gets a null.
+    The starts, one row per run from partial aggregates, are joined back. Spark broadcasts them if
+    their size, which it knows by then, allows; else entries and starts meet by run, and its
+    adaptive skew join cuts a run with very many entries into several tasks. Entries of a null run
+    are one run; an entry without a time gets a null.
     """
-    hour = F.date_trunc("hour", F.col(ts))
-    hours = log.groupBy(*run, hour.alias("_hour")).agg(F.min(ts).alias("_first"))
-    start = hours.groupBy(*run).agg(F.min("_first").alias("_start"))
-    spread = null_safe_join(hours.drop("_first"), start, list(run))
+    start = log.groupBy(*run).agg(F.min(ts).alias("_start"))
     micros = F.timestamp_diff("MICROSECOND", F.col("_start"), F.col(ts))
-    timed = null_safe_join(log.withColumn("_hour", hour), spread, [*run, "_hour"])
-    return timed.withColumn("training_time_minutes", micros / 60_000_000).drop("_start", "_hour")
+    timed = null_safe_join(log, start, list(run))
+    return timed.withColumn("training_time_minutes", micros / 60_000_000).drop("_start")
 
 
 def closing_entries(

@@ -107,9 +107,9 @@ def mix_sources(
     def take(total: Column) -> Column:
         return F.floor(total.cast("double") * share[F.col(source)])
 
-    cut = hash_cut(df, key, take, seed, by=source)
+    cut = hash_cut(df, key, take, seed, by=source, groups=len(weights))
     columns = df.columns
-    df, taken = before_cut(df, key, cut, seed, by=source)
+    df, taken = before_cut(df, key, cut, seed, by=source, groups=len(weights))
     return df.where(taken).select(*columns)
 
 
