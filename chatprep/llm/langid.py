@@ -21,11 +21,42 @@ LEARN_FROM = 2000
 #: Languages whose profiles fit a task's memory for certain.
 MOST_LANGUAGES = 1000
 
+#: Characters of a text whose n-grams are counted at a time.
+PIECE = 1 << 20
+
 _NO_LETTERS = regex.compile(r"[^\p{L}]+")
+#: Signs at which a long text can be cut: they end words, whatever stands around them.
+_CUT = regex.compile(r"[\s\u3001\u3002\uff0c]")
+
+
+def _pieces(text: str) -> Iterator[str]:
+    at = 0
+    while len(text) - at > PIECE and (cut := _CUT.search(text, at + PIECE)):
+        yield text[at : cut.end()]
+        at = cut.end()
+    yield text[at:]
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the n-grams inside the text's words, each padded with a blank, and their counts."""
+    """Codes of the n-grams inside the text's words, each padded with a blank, and their counts.
+
+    A long text is counted in pieces cut between words; what is kept is one number per different
+    n-gram.
+    """
+    codes, counts = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+    for piece in _pieces(text):
+        more, numbers = _piece_counts(piece)
+        if not len(codes):
+            codes, counts = more, numbers
+        elif len(more):
+            codes, place = np.unique(np.concatenate([codes, more]), return_inverse=True)
+            sums = np.zeros(len(codes), dtype=np.int64)
+            np.add.at(sums, place, np.concatenate([counts, numbers]))
+            counts = sums
+    return codes, counts
+
+
+def _piece_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     words = _NO_LETTERS.sub(" ", text.lower()).strip()
     if not words:
         return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)

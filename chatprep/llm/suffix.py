@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import os
 import tempfile
 
@@ -12,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatprep.llm import induced
-from chatprep.llm.common import shuffle_partitions, text_of
-from chatprep.llm.windows import BUCKETS_PER_PARTITION, _pack, _unpack
+from chatprep.llm.common import dealt_sizes, pack, text_of, unpack
 
 WINDOW = 400
 #: A sample of a window: its least hash of so many consecutive bytes, as a share of the window. Long
@@ -137,7 +135,7 @@ def _rows(part: int, hashes: np.ndarray, buckets: int, extra: bytes) -> pd.DataF
     rows = [(part % buckets, part, 0, 0, extra)]
     for bucket in np.flatnonzero(np.diff(edges)):
         low, high = int(edges[bucket]), int(edges[bucket + 1])
-        rows.append((int(bucket), part, low, high - low, _pack(hashes[low:high])))
+        rows.append((int(bucket), part, low, high - low, pack(hashes[low:high])))
     return pd.DataFrame(rows, columns=["bucket", "part", "first", "n", "packed"])
 
 
@@ -150,7 +148,7 @@ def _shared(rows: pd.DataFrame) -> pd.DataFrame:
     out = [(r.part, 0, r.packed) for r in passed.itertuples()]
     sent = rows[rows["n"] > 0]
     if len(sent):
-        hashes = np.concatenate([_unpack(r.packed, np.uint64, r.n) for r in sent.itertuples()])
+        hashes = np.concatenate([unpack(r.packed, np.uint64, r.n) for r in sent.itertuples()])
         ordered = np.sort(hashes)
         again = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
         shared = np.zeros(len(hashes), dtype=bool)
@@ -163,7 +161,7 @@ def _shared(rows: pd.DataFrame) -> pd.DataFrame:
             found = np.flatnonzero(shared[at : at + r.n])
             at += r.n
             if len(found):
-                out.append((r.part, len(found), _pack((found + r.first).astype(np.uint32))))
+                out.append((r.part, len(found), pack((found + r.first).astype(np.uint32))))
     return pd.DataFrame(out, columns=["part", "found", "shared"])
 
 
@@ -182,7 +180,7 @@ def _flags(replies: pd.DataFrame, number: int) -> np.ndarray:
     flags = np.zeros(number, dtype=bool)
     for r in replies.itertuples():
         if r.found:
-            flags[_unpack(r.shared, np.uint32, r.found)] = True
+            flags[unpack(r.shared, np.uint32, r.found)] = True
     return flags
 
 
@@ -299,7 +297,7 @@ def remove_repeated_strings(
     documents and are judged on the input. ``spans`` are the maximal removed runs (start, end
     exclusive), ``kept`` the other bytes.
 
-    Documents are dealt into shards of about ``group``. A window's sample, the least hash of the
+    Documents are dealt into shards of about ``group``, fewer if they are long. A window's sample, the least hash of the
     half as long strings in it, is the same for equal windows, so windows whose sample stands at one
     place of all texts only are done. The remaining ones of a shard are sorted by external induced
     sorting; neighbours that share ``window`` bytes are repeats inside the shard. Of each distinct
@@ -312,8 +310,7 @@ def remove_repeated_strings(
     """
     if window < 1:
         raise ValueError("a window has at least one byte")
-    parts = max(1, math.ceil(docs.count() / group))
-    buckets = BUCKETS_PER_PARTITION * shuffle_partitions(docs.sparkSession)
+    parts, buckets = dealt_sizes(docs, text_column, group)
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(
         # As text, since a null would turn a whole pandas column of numbers into floats.

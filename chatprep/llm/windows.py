@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatprep.llm.common import shuffle_partitions, text_of
+from chatprep.llm.common import dealt_sizes, pack, text_of, unpack
 
 WINDOW = 13
 #: Documents whose windows are sorted together.
 GROUP = 512
-#: Buckets of hashes for each shuffle partition.
-BUCKETS_PER_PARTITION = 4
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.iinfo(np.int64).max
@@ -38,19 +33,6 @@ def window_hashes(words: list[bytes], window: int) -> np.ndarray:
     return rolled ^ (rolled >> np.uint64(32))
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Compressed byte planes: sorted hashes share their high bytes, ordinals are small."""
-    width = values.dtype.itemsize
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, width).T.tobytes()
-    return pa.compress(planes, codec="zstd", asbytes=True)
-
-
-def _unpack(packed: bytes, dtype: type, number: int) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
-    planes = pa.decompress(packed, decompressed_size=number * width, codec="zstd", asbytes=True)
-    return np.frombuffer(planes, np.uint8).reshape(width, number).T.copy().view(dtype).ravel()
-
-
 class _Group:
     """The windows of a group of documents, and per distinct hash the smallest document."""
 
@@ -86,9 +68,9 @@ def _emit(window: int, buckets: int):
             rows.append(
                 (
                     bucket, part, low, high - low, len(ids),
-                    _pack(group.distinct[low:high]),
-                    _pack(ordinal.astype(np.uint32)),
-                    _pack(ids),
+                    pack(group.distinct[low:high]),
+                    pack(ordinal.astype(np.uint32)),
+                    pack(ids),
                 )
             )
         return pd.DataFrame(rows, columns=_PACKED)
@@ -105,10 +87,10 @@ _PACKED_TYPE = (
 
 def _count(rows: pd.DataFrame) -> pd.DataFrame:
     """Which hashes of each group also occur in a smaller document of another group."""
-    hashes = np.concatenate([_unpack(r.packed, np.uint64, r.hashes) for r in rows.itertuples()])
+    hashes = np.concatenate([unpack(r.packed, np.uint64, r.hashes) for r in rows.itertuples()])
     ids = np.concatenate(
         [
-            _unpack(r.ids, np.int64, r.docs)[_unpack(r.ordinals, np.uint32, r.hashes)]
+            unpack(r.ids, np.int64, r.docs)[unpack(r.ordinals, np.uint32, r.hashes)]
             for r in rows.itertuples()
         ]
     )
@@ -123,7 +105,7 @@ def _count(rows: pd.DataFrame) -> pd.DataFrame:
         found = np.flatnonzero(late[at : at + r.hashes])
         at += r.hashes
         if len(found):
-            out.append((r.part, len(found), _pack((found + r.first).astype(np.uint32))))
+            out.append((r.part, len(found), pack((found + r.first).astype(np.uint32))))
     return pd.DataFrame(out, columns=["part", "found", "repeated"])
 
 
@@ -134,7 +116,7 @@ def _removed(window: int):
         group = _Group(docs, window)
         elsewhere = np.zeros(len(group.distinct), dtype=bool)
         for r in replies.itertuples():
-            elsewhere[_unpack(r.repeated, np.uint32, r.found)] = True
+            elsewhere[unpack(r.repeated, np.uint32, r.found)] = True
         if len(group.distinct):
             repeated = elsewhere[group.number] | (group.owner > group.smallest[group.number])
         else:
@@ -172,7 +154,7 @@ def remove_repeated_windows(
     starts in a document with a smaller identifier. ``spans`` are the maximal intervals of removed
     words (start, end exclusive), ``kept`` the other words joined by one space.
 
-    Documents are dealt into groups of about ``group``. Each group sends its distinct window hashes,
+    Documents are dealt into groups of about ``group``, fewer if they are long. Each group sends its distinct window hashes,
     with the smallest document of each, to buckets of hash ranges as packed arrays; a bucket finds
     which hashes have a smaller document elsewhere and answers each group. A passage that a third
     of all documents share is one entry per group. Texts travel once, to their group.
@@ -182,8 +164,7 @@ def remove_repeated_windows(
     Hashes have 64 bits: among ``n`` distinct windows, about ``n**2 / 2**65`` pairs are mistaken for
     equal (0.0005 for 135 million).
     """
-    parts = max(1, math.ceil(docs.count() / group))
-    buckets = BUCKETS_PER_PARTITION * shuffle_partitions(docs.sparkSession)
+    parts, buckets = dealt_sizes(docs, text_column, group)
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(
         # As text, since a null would turn a whole pandas column of numbers into floats.
