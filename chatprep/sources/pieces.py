@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chatprep.sources.scratch import scratch_path
+
 _BLOCK = ["file", "block"]
 
 
@@ -176,7 +178,7 @@ def json_elements(spark: SparkSession, path: str) -> DataFrame:
     Files are cut at closing braces. Whether such a brace ends an element depends on two numbers that
     are carried from piece to piece: whether the piece begins inside a string, and how deep. Both add
     up over the pieces of a block, whatever the block begins with, so blocks are summed up on their
-    own. Anything but an array of objects fails the job.
+    own, by a scan that exchanges numbers only. Anything but an array of objects fails the job.
     """
     bare = F.regexp_replace("value", _ESCAPED, "")
     pieces = (
@@ -199,8 +201,24 @@ def json_elements(spark: SparkSession, path: str) -> DataFrame:
             .withColumn(f"outside_{start}", F.col("ends_outside"))
             .drop("quotes_before", "ends_outside", "delta")
         )
-    last = F.struct("id", "depth_0", "depth_1")
-    sums = _blocks(numbers, F.sum("quotes").alias("quotes"), F.max(last).alias("last"))
+    # Few rows per block, one for each depth that it reaches, which two more steps need.
+    reached = ["depth_0", "outside_0", "depth_1", "outside_1"]
+    levels = numbers.groupBy(*_BLOCK, *reached).agg(
+        F.min("id").alias("id"),
+        F.max("id").alias("last"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum("quotes").alias("quotes"),
+    )
+    stored = scratch_path(spark, "levels")
+    levels.write.parquet(stored)
+    levels = spark.read.schema(levels.schema).parquet(stored)
+
+    sums = levels.groupBy(*_BLOCK).agg(
+        F.min("id").alias("first"),
+        F.sum("n").alias("n"),
+        F.sum("quotes").alias("quotes"),
+        F.max(F.struct("last", "depth_0", "depth_1")).alias("last"),
+    )
     sums = sums.withColumn("began", F.coalesce(F.sum("quotes").over(_earlier_blocks()), F.lit(0)) % 2)
     change = F.when(F.col("began") == 0, F.col("last.depth_0")).otherwise(F.col("last.depth_1"))
     sums = sums.withColumn("change", change).withColumn(
@@ -214,10 +232,10 @@ def json_elements(spark: SparkSession, path: str) -> DataFrame:
     problem = F.raise_error(F.concat(F.lit("not an array of records: "), F.col("file")))
     sums = sums.withColumn("depth", F.when(sound, F.col("depth")).otherwise(problem.cast("long")))
 
-    known = numbers.join(sums.select(*_BLOCK, "began", "depth"), _BLOCK)
+    known = levels.drop("n", "quotes").join(sums.select(*_BLOCK, "began", "depth"), _BLOCK)
     outside = F.when(F.col("began") == 0, F.col("outside_0")).otherwise(F.col("outside_1"))
-    reached = F.col("depth") + F.when(F.col("began") == 0, F.col("depth_0")).otherwise(F.col("depth_1"))
-    ends = known.groupBy(*_BLOCK).agg(F.min(F.when(outside & (reached == 1), F.col("id"))).alias("turn"))
+    level = F.col("depth") + F.when(F.col("began") == 0, F.col("depth_0")).otherwise(F.col("depth_1"))
+    ends = known.groupBy(*_BLOCK).agg(F.min(F.when(outside & (level == 1), F.col("id"))).alias("turn"))
     blocks = sums.join(ends, _BLOCK)
     head_end = F.when(
         F.col("depth") > 1, F.coalesce("turn", F.col("first") + F.col("n") - 1)
