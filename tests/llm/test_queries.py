@@ -61,3 +61,22 @@ def test_pipeline(spark):
     assert Counter(r.doc_id for r in ids) == Counter(r.doc_id for r in mixed.collect())
     assert all(r.n_tokens == len(r.ids) for r in ids)
     assert [name for name, _ in corpus_pipeline.STAGES] and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_pipeline_stages_take_edge_rows(spark, edge_docs, no_docs):
+    """Nulls, empty and long texts, repeated rows and clashing columns, stage by stage; then no rows."""
+    sf = str(DATA / SF)
+    docs, columns = edge_docs, edge_docs.columns
+    texts = {r.text or "" for r in edge_docs.collect()}
+    seen = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == columns, name
+        docs = spark.createDataFrame(out.collect(), edge_docs.schema)
+        seen.append(docs.count())
+        if name != "source mixing":
+            assert {r.text or "" for r in docs.collect()} <= texts and seen[-1] <= seen[-2]
+    ids = corpus_pipeline.encode(spark, docs, sf).collect()
+    assert len(ids) == seen[-1] > 0 and all(r.n_tokens == len(r.ids) for r in ids)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, no_docs, sf).count() == 0, name
