@@ -183,14 +183,12 @@ def format_preset(messages: Column, name: str, company_name: str = "ACME") -> Co
 def gsm8k_gold(answer: Column) -> Column:
     """The text after the last answer mark, marks being found from the left.
 
-    Looked for from the right, the mark is the end of a row of its signs. Of that row, which the marks
-    divide up from the left, what is left over belongs to the text.
+    Looked for from the right, the last mark is the same one, unless one of its signs more stands
+    beside it; only such texts are split.
     """
-    tail = F.substring_index(answer, ANSWER_MARK, -1)
-    head = F.left(answer, F.length(answer) - F.length(tail))
-    sign, width = ANSWER_MARK[0], len(ANSWER_MARK)
-    row = F.length(head) - F.length(F.rtrim(head, F.lit(sign)))
-    return strip(F.concat(F.repeat(F.lit(sign), row % width), tail))
+    last = F.substring_index(answer, ANSWER_MARK, -1)
+    longer = F.contains(answer, F.lit(ANSWER_MARK + ANSWER_MARK[0]))
+    return strip(F.when(longer, F.element_at(F.split(answer, ANSWER_MARK), -1)).otherwise(last))
 
 
 def gsm8k_to_chat(question: Column, answer: Column) -> Column:
