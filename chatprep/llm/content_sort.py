@@ -25,10 +25,13 @@ def _sorted_cells(docs: DataFrame, id_column: str, text_column: str, carry: bool
     and, among texts that share those, a hash, so that samples and splitters stay small whatever
     the texts' lengths. Each partition is sorted externally by all bytes, and the window compares
     every row's full bytes with its neighbour's. A text that
-    has many rows would fill a partition: it is cut into cells by a hash of the identifier, each
+    has many rows would fill a partition: it is cut into cells by a hash of the row's number, each
     cell is sorted like a text of its own, and the cells' common result comes from a map-side
     aggregate. At most ``partitions / CELL_SHARE`` texts can be that frequent, which bounds what
     is broadcast.
+
+    Texts are normalised and rows numbered once, in a stored table: a number is unique and does not
+    change when a task is repeated, so rows that share an identifier, or have none, are spread too.
     """
     spark = docs.sparkSession
     limit_share = CELL_SHARE / shuffle_partitions(spark)
@@ -37,20 +40,21 @@ def _sorted_cells(docs: DataFrame, id_column: str, text_column: str, carry: bool
         F.col(id_column).alias("id"),
         normalised(F.col(text_column)).alias("norm"),
         F.length(text_of(F.col(text_column))).alias("points"),
+        F.monotonically_increasing_id().alias("line"),
         *row,
-    ).withColumn("hash", F.xxhash64("norm"))
+    )
+    rows = stored(rows.withColumn("hash", F.xxhash64("norm")), "exact-rows")
 
-    hashes = stored(rows.select("hash"), "exact-hashes")
-    limit = max(1, int(hashes.count() * limit_share))
+    limit = max(1, int(rows.count() * limit_share))
     frequent = (
-        hashes.groupBy("hash")
+        rows.groupBy("hash")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > limit)
         .select("hash", F.ceil(F.col("n") / limit).alias("cells"))
     )
     frequent = F.broadcast(stored(frequent, "exact-frequent"))
 
-    best = F.struct((-F.col("points")).alias("less"), F.col("id").isNull().alias("none"), "id")
+    best = F.struct((-F.col("points")).alias("less"), F.col("id").isNull().alias("none"), "id", "line")
     digest = F.sha2("norm", 256)
     groups = (
         rows.drop("row")
@@ -59,9 +63,9 @@ def _sorted_cells(docs: DataFrame, id_column: str, text_column: str, carry: bool
         .agg(F.min(best).alias("winner"), F.count(F.lit(1)).alias("total"))
     )
 
-    cell = F.when(F.col("cells").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("cells")))
+    cell = F.when(F.col("cells").isNull(), 0).otherwise(F.pmod(F.xxhash64("line"), F.col("cells")))
     within = Window.partitionBy("head", "hash", "cell", "norm")
-    order = within.orderBy(F.desc("points"), F.asc_nulls_last("id"))
+    order = within.orderBy(F.desc("points"), F.asc_nulls_last("id"), "line")
     cells = (
         rows.join(frequent, "hash", "left")
         .withColumn("cell", cell)
@@ -79,12 +83,11 @@ def _sorted_cells(docs: DataFrame, id_column: str, text_column: str, carry: bool
     merged = cells.join(F.broadcast(groups), "text_sha256", "left")
     spread = F.col("winner").isNotNull()
     first = F.col("place") == 1
-    wins = F.col("id").eqNullSafe(F.col("winner.id")) & (F.col("points") == -F.col("winner.less"))
     return merged.select(
         "id",
         F.when(spread, F.col("winner.id")).otherwise(F.col("first_id")).alias("keep_id"),
         F.coalesce("total", "cell_size").alias("group_size"),
-        F.when(spread, first & wins).otherwise(first).alias("kept"),
+        F.when(spread, F.col("line") == F.col("winner.line")).otherwise(first).alias("kept"),
         "text_sha256",
         *(["row"] if carry else []),
     )

@@ -12,17 +12,21 @@ GROUP_SHARE = 0.01
 
 
 def balanced_shards(
-    docs: DataFrame, shards: int = 8, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    shards: int = 8,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    group_share: float = GROUP_SHARE,
 ) -> DataFrame:
     """``(doc_id, size, text_crc32, law, shard, slot, grown_shard)``, one row per input row.
 
     ``size`` is the text's UTF-8 bytes plus 1 (a null text has none and counts as empty). Rows are
-    put in one global order, by text hash and then identifier, so that equal texts are neighbours;
-    Spark's sampled range partitions hold it. Totals per partition give each partition's offset, a
+    put in one global order, by text hash, identifier and then a stored number of the row, so that
+    equal texts are neighbours and many equal rows still fill several partitions; Spark's sampled range partitions hold it. Totals per partition give each partition's offset, a
     running sum inside it gives each row's place in the bytes of all rows, and the middle of the
     row decides between the equal targets. Law ``bytes``: sizes are near equal. A group of equal
-    texts that lies on a cut stays together if it is small against a shard. ``slot`` counts the
-    rows of a shard from 0; ``grown_shard`` belongs to another law and is null.
+    texts that lies on a cut stays together if it has at most ``group_share`` of a shard's bytes.
+    ``slot`` counts the rows of a shard from 0; ``grown_shard`` belongs to another law and is null.
 
     Equal rows are placed one by one; a text larger than a shard's target can leave a neighbouring
     shard empty; an empty table gives no rows.
@@ -33,10 +37,11 @@ def balanced_shards(
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.unhex(F.md5(text)).alias("digest"),
+        F.monotonically_increasing_id().alias("line"),
     )
-    order = ["text_crc32", "digest", F.asc_nulls_last("id")]
-    ranged = keyed.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
-    ranged = stored(ranged, "shard-ranges")
+    order = ["text_crc32", "digest", F.asc_nulls_last("id"), "line"]
+    ranged = stored(keyed, "shard-rows").repartitionByRange(*order)
+    ranged = stored(ranged.withColumn("part", F.spark_partition_id()), "shard-ranges")
 
     # One row per partition: its size is bounded by their number.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -81,7 +86,7 @@ def balanced_shards(
             F.max("all_bytes").alias("total"),
         )
         .where("cut_shard < cut_end")
-        .where(F.col("bytes") <= F.col("total") / shards * GROUP_SHARE)
+        .where(F.col("bytes") <= F.col("total") / shards * group_share)
         .select("cut_digest", "cut_shard")
     )
     sharded = placed.join(
