@@ -11,7 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SCALE = 256
-#: Rows of a tile at most, on average: queries, candidates.
+#: Bytes of the vectors of a block of queries, and of a shard of candidates, on average. Every vector
+#: is sent once per block or shard of the other side, so large ones keep the exchange small.
+BLOCK_BYTES = 32 << 20
+#: Rows that are multiplied at a time: queries, candidates.
 QUERY_ROWS = 512
 CANDIDATE_ROWS = 8192
 #: Tiles that a search is cut into if the candidates allow it, so that all tasks have some.
@@ -59,35 +62,62 @@ def select(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return kept[np.lexsort((ids[kept], -scores[kept].astype(object)))][:k] if len(kept) else kept
 
 
+def tile_lists(
+    queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each query its ``k`` best candidates with another identifier: query position, id, score.
+
+    Tiles of ``QUERY_ROWS`` by ``CANDIDATE_ROWS`` scores are in memory, one at a time; a query's lists
+    of the tiles are merged by one more selection.
+    """
+    places, found, best = [], [], []
+    for low in range(0, len(queries), QUERY_ROWS):
+        asked = query_ids[low : low + QUERY_ROWS]
+        lists = [([], []) for _ in asked]
+        for at in range(0, len(candidates), CANDIDATE_ROWS):
+            names = ids[at : at + CANDIDATE_ROWS]
+            scores = tile_scores(queries[low : low + QUERY_ROWS], candidates[at : at + CANDIDATE_ROWS])
+            own = np.isin(asked, names)
+            for row, query, met, (some_ids, some_scores) in zip(scores, asked, own, lists):
+                others = names
+                if met:
+                    other = names != query
+                    others, row = names[other], row[other]
+                top = select(row, others, k)
+                some_ids.append(others[top])
+                some_scores.append(row[top])
+        for place, (some_ids, some_scores) in enumerate(lists, low):
+            some_ids, some_scores = np.concatenate(some_ids), np.concatenate(some_scores)
+            top = select(some_scores, some_ids, k)
+            places.append(np.full(len(top), place))
+            found.append(some_ids[top])
+            best.append(some_scores[top])
+    return np.concatenate(places), np.concatenate(found), np.concatenate(best)
+
+
 def _score_tile(k: int):
     def score(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([empty, *lists(queries, candidates)], ignore_index=True)
+        if not len(queries) or not len(candidates):
+            return empty
+        copies = candidates["copies"].clip(upper=k).to_numpy()
+        ids = candidates["id"].to_numpy().repeat(copies)
+        left = np.stack(queries["vector"].to_numpy()).astype(np.int64, copy=False)
+        right = np.stack(candidates["vector"].to_numpy()).astype(np.int64, copy=False).repeat(copies, axis=0)
+        query_ids = queries["id"].to_numpy()
+        place, vec_id, found = tile_lists(left, query_ids, right, ids, k)
+        return pd.DataFrame(
+            {
+                "query_id": query_ids[place],
+                "query_hash": queries["hash"].to_numpy()[place],
+                "node": candidates["shard"].iloc[0],
+                "vec_id": vec_id,
+                "score": found,
+            }
+        )
 
     empty = pd.DataFrame(
         {n: pd.Series(dtype="int64") for n in ("query_id", "query_hash", "node", "vec_id", "score")}
     )
-
-    def lists(queries: pd.DataFrame, candidates: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        if not len(queries) or not len(candidates):
-            return
-        candidates = candidates.loc[candidates.index.repeat(candidates["copies"].clip(upper=k))]
-        ids = candidates["id"].to_numpy()
-        left = np.stack(queries["vector"].to_numpy()).astype(np.int64, copy=False)
-        right = np.stack(candidates["vector"].to_numpy()).astype(np.int64, copy=False)
-        scores = tile_scores(left, right)
-        for row, query, digest in zip(scores, queries["id"], queries["hash"]):
-            others = np.flatnonzero(ids != query)
-            best = others[select(row[others], ids[others], k)]
-            yield pd.DataFrame(
-                {
-                    "query_id": query,
-                    "query_hash": digest,
-                    "node": candidates["shard"].iloc[0],
-                    "vec_id": ids[best],
-                    "score": row[best],
-                }
-            )
-
     return score
 
 
@@ -101,9 +131,12 @@ def top_k(
     """``(query_id, rank, vec_id, score)``: for each query row its ``k`` highest inner products.
 
     Rows are ``floor(256 x)`` vectors; queries are the rows for which ``is_query`` holds, candidates
-    all rows with another identifier. Queries and candidates are dealt into blocks of bounded size
-    by a hash of their content, every pair of a query block and a shard is one tile, a tile keeps
-    the best ``k`` of each query, and lists of ``FAN_IN`` neighbouring shards merge level by level.
+    all rows with another identifier. Queries are dealt into blocks and candidates into shards by a
+    hash of their content, each of about ``BLOCK_BYTES``. A task gets one block and one shard,
+    multiplies them tile by tile and keeps the best ``k`` of each query; lists of ``FAN_IN``
+    neighbouring shards merge level by level. All queries have to meet all candidates, so the
+    products grow with both, and so does what is exchanged, but slowly: a candidate is sent once per
+    block of queries, which is once for the first 65,536 queries of 64 components.
 
     Ties go to the smaller identifier. Rows without identifier or with a null vector, component or
     value that is not finite take no part. Vectors meet only vectors of their own length. Equal
@@ -128,12 +161,18 @@ def top_k(
     counts = rows.groupBy("width").agg(
         F.count(F.lit(1)).alias("candidates"), F.count_if("asks").alias("queries")
     )
+    values = F.greatest("width", F.lit(1))
     sizes = counts.select(
-        F.max("candidates").alias("candidates"), F.max("queries").alias("queries")
+        F.max("candidates").alias("candidates"),
+        F.max(F.col("candidates") * values).alias("candidate_values"),
+        F.max(F.col("queries") * values).alias("query_values"),
     ).first()
-    per_shard = min(CANDIDATE_ROWS, math.ceil((sizes["candidates"] or 0) / SPREAD) or 1)
-    shards = math.ceil((sizes["candidates"] or 0) / per_shard) or 1
-    blocks = math.ceil((sizes["queries"] or 0) / QUERY_ROWS) or 1
+
+    def blocks_of(values: int | None) -> int:
+        return math.ceil((values or 0) * 8 / BLOCK_BYTES) or 1
+
+    shards = max(blocks_of(sizes["candidate_values"]), min(SPREAD, sizes["candidates"] or 1))
+    blocks = blocks_of(sizes["query_values"])
 
     def dealt(name: str, number: int) -> Column:
         return F.pmod(F.xxhash64(F.col("hash"), F.lit(name)), F.lit(number)).alias(name)

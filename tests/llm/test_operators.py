@@ -47,7 +47,8 @@ def test_every_operator_takes_an_empty_table(spark, no_docs):
 # ---- exact top-k --------------------------------------------------------------------------------
 
 
-def test_top_k(spark, monkeypatch):
+@pytest.mark.parametrize("block_bytes", [topk.BLOCK_BYTES, 200])
+def test_top_k(spark, monkeypatch, block_bytes):
     rng = random.Random(2)
     vectors = [(i, [rng.choice([0.5, -0.25, 0.125, 1.0]) for _ in range(4)]) for i in range(400)]
     vectors += [(7, [9.0, 9.0, 9.0, 9.0])] * 7 + [(50, [1.0, 1.0, 1.0, 1.0]), (500, [1.0])]
@@ -55,12 +56,30 @@ def test_top_k(spark, monkeypatch):
                (250, [float("inf")] * 4)]
     df = spark.createDataFrame(vectors + skipped, "vec_id long, embedding array<double>")
     df = df.withColumns({c: F.lit(1) for c in ("id", "hash", "block", "shard", "vector", "node")})
+    monkeypatch.setattr(topk, "BLOCK_BYTES", block_bytes)  # the second one gives several blocks
     monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    monkeypatch.setattr(topk, "CANDIDATE_ROWS", 4)
     got = [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 50 == 0, k=5).collect()]
     whole = [(i, [int(256 * x // 1) for x in v]) for i, v in vectors]
     assert Counter(got).keys() == brute.top_k(whole, 5)
 
 
+def test_a_block_is_multiplied_in_tiles(monkeypatch):
+    rng = np.random.default_rng(3)
+    queries, candidates = rng.integers(-3, 4, (40, 5)), rng.integers(-3, 4, (90, 5))
+    query_ids, ids = np.arange(40), rng.permutation(90)
+    whole = topk.tile_lists(queries, query_ids, candidates, ids, 5)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 7)
+    monkeypatch.setattr(topk, "CANDIDATE_ROWS", 11)
+    tiles = topk.tile_lists(queries, query_ids, candidates, ids, 5)
+    assert [x.tolist() for x in whole] == [x.tolist() for x in tiles]
+    for query in query_ids:
+        scores = [(-int(c @ queries[query]), int(i)) for c, i in zip(candidates, ids) if i != query]
+        expected = [(i, -s) for s, i in sorted(scores)[:5]]
+        mine = whole[0] == query
+        assert list(zip(whole[1][mine].tolist(), whole[2][mine].tolist())) == expected
+
+
 def test_scores_are_exact_at_any_size():
     big = np.array([[2**40, 3], [-(2**40), 5]], dtype=np.int64)
     exact = big.astype(object) @ big.astype(object).T
