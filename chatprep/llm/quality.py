@@ -202,7 +202,8 @@ def learn(
 
     They are chosen by a hash of the identifier among those whose ``crc32(doc_id) % folds`` is not
     ``held_out``; the bound also bounds what is broadcast and what the driver gets, which is
-    ``CHUNKS_PER_DOCUMENT`` chunks, spread evenly, of each. Rows with a null or other label than 0
+    ``CHUNKS_PER_DOCUMENT`` chunks, spread evenly, of each. Of rows that share an identifier, the one
+    with the least chunks in byte order teaches. Rows with a null or other label than 0
     and 1, or without a document, teach nothing. If nothing is left, or one class only, the scores
     are those of an unfitted network or of that class.
     """
@@ -219,6 +220,8 @@ def learn(
     found = (
         texts.join(F.broadcast(sample), "id")
         .mapInArrow(_chosen_chunks, f"id {kind}, label int, chunks binary")
+        .groupBy("id", "label")
+        .agg(F.min("chunks").alias("chunks"))
         .collect()
     )
     found.sort(key=lambda r: (r.id, r.label, bytes(r.chunks)))

@@ -123,7 +123,8 @@ def fingerprint_links(classes: DataFrame) -> DataFrame:
 
     Buckets of at most ``JOINED`` fingerprints are joined, which gives at most ``JOINED`` candidates
     per key. Larger buckets are cut into blocks, every two blocks of a bucket form a tile, and a
-    tile gives a star per component in it; so neither rows nor memory grow with a bucket's square.
+    tile gives a star per component in it, at most one link per fingerprint. Memory is that of a tile; a
+    bucket of ``n`` distinct fingerprints is copied ``n / TILE`` times into tiles, ``n * n / TILE`` rows.
     """
     fp = F.col("fp")
     index = classes.select("fp", _keys(fp, reach=False).alias("key"))

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from chatprep.llm import content_sort, sharding
+from chatprep.llm import content_sort, quality, sharding
 from tests.llm import brute
 
 NAMES = "doc_id long, text string"
@@ -51,3 +51,12 @@ def test_shards_spread_rows_of_one_identifier(hot_docs, monkeypatch):
     assert max(by_shard.values()) - min(by_shard.values()) <= 40
     for shard in by_shard:
         assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+
+
+def test_a_repeated_labelled_document_teaches_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c d")] + [(3, f"copy {i % 2}") for i in range(300)], NAMES)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda pairs, share: seen.append(pairs))
+    quality.learn(docs, labels, held_out=-1)
+    assert sorted(label for _, label in seen[0]) == [0, 1, 1]
