@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -26,6 +27,8 @@ DOCUMENTS = 1 << 16
 #: Pieces of text of a generation, whose ids a task remembers, and the characters of such a piece.
 REMEMBERED = 400_000
 PIECE = 64
+#: Characters of the texts whose words are looked up together; a longer text is done on its own.
+BLOCK = 4 << 20
 #: Ones of the upper bits between two stored positions.
 SAMPLE = 256
 
@@ -75,7 +78,8 @@ class IdEncoder:
 
     A tokenizer file of lower-cased words, split at white space, has pieces that do not depend on
     each other. Words of ordinary characters are split by the file's own pattern, and the library's
-    model encodes each different piece; other words are given to the library whole.
+    model encodes each different piece; other words are given to the library whole. A piece that is a
+    word is its only piece, so words and pieces are remembered together.
     With any other kind of file, the library gets each text whole.
     """
 
@@ -109,8 +113,7 @@ class IdEncoder:
         added = sorted((t["content"] for t in file.get("added_tokens", [])), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.number = [i.to_bytes(np.dtype(width).itemsize, "little") for i in range(self.size(file))]
-        self.pieces_known, self.words_known = _Known(self._piece), _Known(self._word)
-        self.unusual_known = _Known(self._whole)
+        self.words_known, self.unusual_known = _Known(self._word), _Known(self._whole)
 
     @staticmethod
     def size(file: dict) -> int:
@@ -124,22 +127,58 @@ class IdEncoder:
     def _whole(self, text: str) -> bytes:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _piece(self, piece: str) -> bytes:
-        """The ids of a piece that the pattern gives, in lower case."""
-        if not piece.isascii():
-            piece = "".join(map(self.symbol.__getitem__, piece.encode()))
-        return self._packed([t.id for t in self.model.tokenize(piece)])
-
     def _word(self, word: str) -> bytes:
-        return b"".join(map(self.pieces_known.__getitem__, self.pieces.findall(word)))
+        """The ids of a word in lower case, or of a piece that the pattern gives."""
+        # Letters alone are one piece.
+        pieces = [word] if word.isalpha() else self.pieces.findall(word)
+        if pieces != [word]:
+            return b"".join(map(self.words_known.__getitem__, pieces))
+        if not word.isascii():
+            word = "".join(map(self.symbol.__getitem__, word.encode()))
+        return self._packed([t.id for t in self.model.tokenize(word)])
 
     def _ordinary(self, text: str) -> bytes:
         # Of all white space, ordinary text has the six ASCII spaces only.
         return b"".join(map(self.words_known.__getitem__, text.lower().split()))
 
+    def _ordinary_block(self, texts: list[str]) -> list[bytes]:
+        """The same for many texts, with one look-up for each of their different words."""
+        words = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.string()))
+        # A text with blanks at an end has an empty word there, which has no ids.
+        places = words.values.dictionary_encode()
+        different = places.dictionary.to_numpy(zero_copy_only=False)
+        ids = pa.array(list(map(self.words_known.__getitem__, different)), pa.binary())
+        per_text = pa.ListArray.from_arrays(words.offsets, ids.take(places.indices))
+        return pc.binary_join(per_text, b"").to_pylist()
+
+    def _has_added(self, text: str) -> bool:
+        return bool(self.added and self.added.search(text))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each of the texts, as ``encode`` gives them."""
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            if held and size + len(text) > BLOCK:
+                yield from self._block(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        yield from self._block(held)
+
+    def _block(self, texts: list[str]) -> Iterator[bytes]:
+        together = [
+            self.by_pieces and len(t) <= BLOCK and not self._has_added(t)
+            and self.ordinary.fullmatch(t) is not None
+            for t in texts
+        ]
+        found = iter(self._ordinary_block([t for t, known in zip(texts, together) if known]))
+        for text, known in zip(texts, together):
+            yield next(found) if known else self.encode(text)
+
     def encode(self, text: str) -> bytes:
         """The ids of the text as little-endian unsigned integers of ``width``."""
-        if not self.by_pieces or (self.added and self.added.search(text)):
+        if not self.by_pieces or self._has_added(text):
             return self._whole(text)
         if self.ordinary.fullmatch(text):
             return self._ordinary(text)
@@ -334,7 +373,8 @@ def _encoded(load: Callable[[], IdEncoder], end_id: int, starts: list[tuple]):
                 bisect_right(starts, (doc_id is None, doc_id or 0, row))
                 for doc_id, row in zip(doc_ids.to_pylist(), rows.to_pylist())
             ]
-            ids = pa.array((encoder.encode(t.as_py()) + end for t in batch.column("text")), pa.binary())
+            texts = (t.as_py() for t in batch.column("text"))
+            ids = pa.array((i + end for i in encoder.encode_all(texts)), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(parts, pa.int32()), doc_ids, rows, ids], names=["part", "id", "row", "ids"]
             )
