@@ -3,12 +3,18 @@
 Spark cuts a large file into blocks and each block into pieces at a separator. A record may consist of
 several pieces, and may go on in the next block. Here a first scan sums up each block (a few numbers),
 prefix sums over the blocks of a file tell in which state each block begins, and so which of its first
-pieces belong to a record of an earlier block. These pieces are sent there, and all others stay with
-their block, in one exchange; no record is cut and no file is read by one task.
+pieces belong to a record of an earlier block. These pieces are sent there; no record is cut and no
+file is read by one task. Of CSV only records that lie in several blocks are exchanged, of JSON all
+pieces, once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,10 +51,11 @@ def _earlier_blocks() -> Window:
 def _in_blocks(pieces: DataFrame, blocks: DataFrame) -> DataFrame:
     """The pieces with what is known of their blocks.
 
-    Pieces and blocks come from two scans. If Spark cut the files differently in them (because the
+    There are few blocks, so every task gets them all and the pieces stay where they are read. Pieces
+    and blocks come from two scans. If Spark cut the files differently in them (because the
     number of cores changed in between), ids do not fit, and the job fails instead of mixing them up.
     """
-    joined = pieces.join(blocks, _BLOCK, "left")
+    joined = pieces.join(F.broadcast(blocks), _BLOCK, "left")
     fits = F.col("id").between(F.col("first"), F.col("first") + F.col("n") - 1)
     problem = F.raise_error(F.lit("two scans cut the files differently: run the job again"))
     return joined.withColumn(
@@ -77,10 +84,9 @@ def _homes(blocks: DataFrame) -> DataFrame:
 
 
 def _at_home(pieces: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The pieces with ``home``, the block in which their record begins."""
-    homes = _homes(blocks).select(*_BLOCK, "first", "n", "head_end", "earlier")
+    """The pieces with ``home``, the block in which their record begins, and their blocks' columns."""
     home = F.when(F.col("id") <= F.col("head_end"), F.col("earlier")).otherwise(F.col("block"))
-    return _in_blocks(pieces, homes).withColumn("home", home).drop("first", "n", "head_end", "earlier")
+    return _in_blocks(pieces, _homes(blocks)).withColumn("home", home)
 
 
 def _up_to_here() -> Window:
@@ -115,32 +121,69 @@ def _number_of(sign: str, text: Column) -> Column:
 # ---- CSV ---------------------------------------------------------------------------------------
 
 
+def _closed_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Consecutive lines of whole records as those records: each ends with the line that makes its
+    quotes even in number."""
+    held: list[str] = []
+    begun: tuple = ()
+    for batch in batches:
+        quotes = batch.column("quotes").to_numpy()
+        ends = np.flatnonzero((np.cumsum(quotes) + bool(held)) % 2 == 0) + 1
+        done = int(ends[-1]) if len(ends) else 0
+        if done:
+            starts = np.concatenate([[0], ends[:-1]])
+            offsets = pa.array(np.append(starts, done), pa.int32())
+            values = pc.binary_join(pa.ListArray.from_arrays(offsets, batch.column("value")), "\n").to_pylist()
+            firsts = batch.select(["file", "is_first"]).take(pa.array(starts))
+            files, is_first = firsts.column("file").to_pylist(), firsts.column("is_first").to_pylist()
+            if held:
+                files[0], is_first[0] = begun
+                values[0] = "\n".join([*held, values[0]])
+                held = []
+            yield pa.RecordBatch.from_pydict({"file": files, "is_first": is_first, "value": values})
+        if done < batch.num_rows:
+            if not held:
+                begun = tuple(batch.column(c)[done].as_py() for c in ("file", "is_first"))
+            held += batch.column("value").slice(done).to_pylist()
+
+
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """``(file, is_first, value)``: the records of CSV files, line breaks in quoted cells included.
 
     A line begins a record exactly if the quotes before it, in the whole file, are even in number.
     Quotes inside a cell are doubled, and cells that hold quotes are quoted, as RFC 4180 has it.
+
+    Records inside a block are put together where they are read. At most two records of a block lie
+    in other blocks too; only their lines are exchanged.
     """
     lines = read_pieces(spark, path, "\n").withColumn("quotes", _number_of('"', F.col("value")) % 2)
+    odd = F.when(F.col("quotes") == 1, F.col("id"))
     blocks = _blocks(
         lines,
-        F.sum("quotes").alias("quotes"),
-        # The line that leaves the quoted cell in which the block begins, if it begins in one.
-        F.min(F.when(F.col("quotes") == 1, F.col("id"))).alias("turn"),
+        F.sum("quotes").alias("all_quotes"),
+        # The line that leaves the quoted cell in which the block begins, if it begins in one, and the
+        # line that enters the one in which it ends.
+        F.min(odd).alias("turn"),
+        F.max(odd).alias("last_turn"),
     )
-    quoted = F.coalesce(F.sum("quotes").over(_earlier_blocks()), F.lit(0)) % 2 == 1
+    before = F.coalesce(F.sum("all_quotes").over(_earlier_blocks()), F.lit(0))
     last = F.col("first") + F.col("n") - 1
-    head_end = F.when(quoted, F.coalesce("turn", last)).otherwise(F.col("first") - 1)
-    homed = _at_home(lines, blocks.withColumn("head_end", head_end))
-    started = homed.withColumn("starts", (_before("quotes") % 2 == 0).cast("int"))
-    numbered = started.withColumn("record", F.sum("starts").over(_up_to_here()))
-    records = numbered.groupBy("file", "home", "record").agg(_joined("\n").alias("value"))
-    return records.select(
-        "file",
-        ((F.col("home") == 0) & (F.col("record") == 1)).alias("is_first"),
-        # Lines may end with a carriage return too.
-        F.regexp_replace("value", "\r\\z", "").alias("value"),
+    head_end = F.when(before % 2 == 1, F.coalesce("turn", last)).otherwise(F.col("first") - 1)
+    open_end = (before + F.col("all_quotes")) % 2 == 1
+    tail = F.when(open_end, F.coalesce("last_turn", last + 1)).otherwise(last + 1)
+    homed = _at_home(lines, blocks.withColumns({"head_end": head_end, "tail": tail})).withColumn(
+        "is_first", (F.col("block") == 0) & (F.col("id") == F.col("first"))
     )
+    crosses = (F.col("id") <= F.col("head_end")) | (F.col("id") >= F.col("tail"))
+    schema = "file string, is_first boolean, value string"
+    closed = homed.where(~crosses).select("file", "is_first", "quotes", "value")
+    # The lines of a home block that others share are those of its last record.
+    shared = homed.where(crosses).groupBy("file", "home").agg(
+        F.max("is_first").alias("is_first"), _joined("\n").alias("value")
+    )
+    records = closed.mapInArrow(_closed_records, schema).unionByName(shared.drop("home"))
+    # Lines may end with a carriage return too.
+    return records.withColumn("value", F.regexp_replace("value", "\r\\z", ""))
 
 
 # ---- JSON --------------------------------------------------------------------------------------
@@ -236,11 +279,13 @@ def json_elements(spark: SparkSession, path: str) -> DataFrame:
     outside = F.when(F.col("began") == 0, F.col("outside_0")).otherwise(F.col("outside_1"))
     level = F.col("depth") + F.when(F.col("began") == 0, F.col("depth_0")).otherwise(F.col("depth_1"))
     ends = known.groupBy(*_BLOCK).agg(F.min(F.when(outside & (level == 1), F.col("id"))).alias("turn"))
-    blocks = sums.join(ends, _BLOCK)
+    blocks = sums.select(*_BLOCK, "first", "n", "depth").join(ends, _BLOCK)
     head_end = F.when(
         F.col("depth") > 1, F.coalesce("turn", F.col("first") + F.col("n") - 1)
     ).otherwise(F.col("first") - 1)
-    homed = _at_home(pieces, blocks.withColumn("head_end", head_end))
+    homed = _at_home(pieces, blocks.withColumn("head_end", head_end)).drop(
+        "first", "n", "depth", "turn", "head_end", "earlier"
+    )
 
     # A home block begins between two elements, or with the file.
     depth = F.sum("delta").over(_up_to_here()) + F.when(F.col("home") == 0, 0).otherwise(1)

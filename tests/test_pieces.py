@@ -135,3 +135,16 @@ def test_json_pieces_of_empty_arrays(spark, tmp_path):
     with pytest.raises(Exception):
         (tmp_path / "b.json").write_text('[{"a": x}]')
         files.read_json(spark, str(tmp_path), "a int", pieces=True).collect()
+
+
+def test_csv_records_inside_a_block_are_not_exchanged(spark, tmp_path, small_blocks):
+    """Neither to bring the blocks' states to the lines, nor to put lines together."""
+    rng = random.Random(8)
+    rows = [(str(i), "".join(rng.choices("ab\n", k=300))) for i in range(4000)]
+    with open(tmp_path / "a.csv", "w", newline="") as file:
+        csv.writer(file, lineterminator="\n").writerows([("number", "text"), *rows])
+    small_blocks(200_000)
+    records = pieces.csv_records(spark, str(tmp_path / "a.csv"))
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Window [sum(quotes" not in plan and "Window [sum(starts" not in plan
+    assert records.count() == len(rows) + 1
